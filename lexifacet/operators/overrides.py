@@ -41,27 +41,12 @@ def check_values(kind: str, values: Mapping) -> None:
             raise TypeError(f"not a value of type {kind}: {value!r}")
 
 
-def override_frame(spark: SparkSession, id: str, kind: str, values: Mapping) -> DataFrame:
-    """(id, value) rows of a literal override."""
+def override_frame(spark: SparkSession, id: str, attr: str, kind: str, values: Mapping) -> DataFrame:
+    """(id, attribute) rows of a literal override."""
     check_values(kind, values)
     if kind == "timestamp":
         rows = [(int(i), v.timestamp() if isinstance(v, datetime) else float(v)) for i, v in values.items()]
-        df = spark.createDataFrame(rows, f"`{id}` bigint, value double")
-        return df.withColumn("value", F.timestamp_seconds("value"))
+        df = spark.createDataFrame(rows, f"`{id}` bigint, `{attr}` double")
+        return df.withColumn(attr, F.timestamp_seconds(attr))
     rows = [(int(i), bool(v) if kind == "bool" else float(v) if kind == "float" else v) for i, v in values.items()]
-    return spark.createDataFrame(rows, f"`{id}` bigint, value {SCALAR_TYPES[kind]}")
-
-
-def apply_override(df: DataFrame, id: str, attr: str, overrides: DataFrame) -> DataFrame:
-    """Replace ``attr`` on the ids listed in ``overrides`` (id, value).
-
-    An equi-join on the id without a hint: Spark broadcasts the overrides only
-    when their known size is below its threshold.
-    """
-    kind = df.schema[attr].dataType
-    new = overrides.select(
-        F.col(id), F.col("value").cast(kind).alias("_new"), F.lit(True).alias("_hit")
-    )
-    joined = df.join(new, id, "left")
-    value = F.when(F.col("_hit"), F.col("_new")).otherwise(F.col(attr))
-    return joined.withColumn(attr, value).select(*df.columns)
+    return spark.createDataFrame(rows, f"`{id}` bigint, `{attr}` {SCALAR_TYPES[kind]}")

@@ -7,7 +7,6 @@ from dataclasses import replace
 from numbers import Integral
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -46,10 +45,12 @@ def update_frame(
 
 def _one_per_id(updates: DataFrame, id: str, attrs: Sequence[str]) -> DataFrame:
     """Fail on an id that is updated twice; the exchange is the one the join needs."""
-    columns = [F.first(a).alias(a) for a in attrs]
+    counted = updates.groupBy(id).agg(
+        F.count(F.lit(1)).alias("_n"), *[F.any_value(a).alias(a) for a in attrs]
+    )
     twice = F.raise_error(F.concat(F.lit("two updates of id "), F.col(id).cast("string")))
-    counted = updates.groupBy(id).agg(F.count(F.lit(1)).alias("_n"), *columns)
-    return counted.withColumn("_hit", F.when(F.col("_n") == 1, F.lit(True)).otherwise(twice.cast("boolean")))
+    checked = {a: F.when(F.col("_n") == 1, F.col(a)).otherwise(twice) for a in attrs}
+    return counted.withColumns(checked).drop("_n")
 
 
 def known_attributes(collection: Collection, updates: DataFrame, ignore_missing: bool) -> list[str]:
@@ -65,24 +66,16 @@ def update_attributes(collection: Collection, updates: DataFrame, ignore_missing
 
     ``updates`` has the id column and one column per attribute. Ids that are not
     in the collection change nothing. Array values are stored sorted and distinct.
-    The join carries no hint: Spark broadcasts the updates only if their known
-    size allows it.
+    The values stay apart from the texts and meet the documents on the id.
     """
     attrs = known_attributes(collection, updates, ignore_missing)
     if not attrs:
         return collection
-    df, id = collection.df, collection.id
-    new = _one_per_id(updates, id, attrs)
-    new = new.select(id, "_hit", *[F.col(a).alias(f"_new_{a}") for a in attrs])
-    joined = df.join(new, id, "left")
-    columns = {}
+    new = _one_per_id(updates, collection.id, attrs)
     for a in attrs:
-        kind = df.schema[a].dataType
-        value = F.col(f"_new_{a}").cast(kind)
-        if isinstance(kind, T.ArrayType):
-            value = F.array_sort(F.array_distinct(value))
-        columns[a] = F.when(F.col("_hit"), value).otherwise(F.col(a))
-    return replace(collection, df=joined.withColumns(columns).select(*df.columns))
+        if isinstance(updates.schema[a].dataType, T.ArrayType):
+            new = new.withColumn(a, F.array_sort(F.array_distinct(a)))
+    return replace(collection, overlays=(*collection.overlays, new))
 
 
 def updated_count(collection: Collection, updates: DataFrame) -> DataFrame:
@@ -116,20 +109,25 @@ def string_ordinal(df: DataFrame, column: str, partitions: int | None = None) ->
     ensure_checkpoint_dir(spark)
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     values = df.select(F.col(column).alias("value")).filter("value IS NOT NULL").distinct()
-    placed = values.repartitionByRange(n, "value").select("value", F.spark_partition_id().alias("_part"))
-    placed = placed.checkpoint()
-    local = placed.withColumn("_at", F.row_number().over(W.partitionBy("_part").orderBy("value")))
-    sizes = placed.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
-    # One row per partition, at most n of them: pair each with its predecessors in
-    # one array instead of joining the partitions with each other.
-    listed = sizes.agg(F.map_from_entries(F.collect_list(F.struct("_part", "_n"))).alias("_sizes"))
-    before = F.aggregate(
-        F.map_entries("_sizes"),
-        F.lit(0).cast("long"),
-        lambda acc, e: acc + F.when(e["key"] < F.col("_part"), e["value"]).otherwise(0),
+    placed = values.repartitionByRange(n, "value").sortWithinPartitions("value")
+    placed = placed.select("value", F.monotonically_increasing_id().alias("_id")).checkpoint()
+    # The id holds the partition number above 33 bits of the row's place in it.
+    part = F.shiftright("_id", 33).cast("int")
+    at = F.col("_id").bitwiseAND(F.lit((1 << 33) - 1))
+    # One row per partition, at most n of them, become one array of running totals.
+    sizes = placed.groupBy(part.alias("part")).agg(F.count(F.lit(1)).alias("n"))
+    listed = sizes.agg(F.collect_list(F.struct("part", "n")).alias("sizes"))
+    before = F.transform(
+        F.sequence(F.lit(0), F.lit(n)),
+        lambda p: F.aggregate(
+            "sizes",
+            F.lit(0).cast("long"),
+            lambda total, s: total + F.when(s["part"] < p, s["n"]).otherwise(0),
+        ),
     )
-    shifted = local.withColumn("_sizes", listed.scalar())
-    return shifted.select("value", (F.col("_at") + before).alias("ordinal"))
+    shifts = listed.select(before.alias("before")).scalar()
+    numbered = placed.withColumn("_before", shifts)
+    return numbered.select("value", (at + 1 + F.get("_before", part)).alias("ordinal"))
 
 
 def with_ordinal(df: DataFrame, column: str, name: str) -> DataFrame:

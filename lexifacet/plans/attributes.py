@@ -234,8 +234,8 @@ WHERE CASE WHEN l.doc_id IS NULL THEN d.n_chars ELSE l.quality * 10000 + l.toxic
 )
 def override_attr(spark, sf_dir):
     labels = table(spark, sf_dir, "labels")
-    new = labels.select("doc_id", (F.col("quality") * 10000 + F.col("toxic")).alias("value"))
-    unknown = labels.select((-F.col("doc_id") - 1).alias("doc_id"), F.lit(700).alias("value"))
+    new = labels.select("doc_id", (F.col("quality") * 10000 + F.col("toxic")).alias("n_chars"))
+    unknown = labels.select((-F.col("doc_id") - 1).alias("doc_id"), F.lit(700).alias("n_chars"))
     s = (
         Search.over(documents(spark, sf_dir))
         .everything()

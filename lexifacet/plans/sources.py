@@ -26,7 +26,8 @@ SELECT d.doc_id, d.lang, d.source, d.n_chars, coalesce(l.quality, -1) AS quality
 FROM docs d LEFT JOIN labels l ON l.doc_id = d.doc_id""",
 )
 def src_collection(spark, sf_dir):
-    rows = documents(spark, sf_dir, labels=True).rows()
+    c = documents(spark, sf_dir, labels=True)
+    rows = c.finish(c.rows())
     shown = {c: F.coalesce(c, F.lit(-1)) for c in ("quality", "toxic")}
     shown.update(tags=short_list("tags"), body_digest=F.md5("body"))
     return rows.withColumns(shown).drop("body")
@@ -40,7 +41,7 @@ def src_collection(spark, sf_dir):
 SELECT o_orderkey, coalesce(part_ids, '') AS part_ids FROM orders LEFT JOIN g ON l_orderkey = o_orderkey""",
 )
 def src_mva(spark, sf_dir):
-    rows = orders(spark, sf_dir, parts=True).df
+    rows = orders(spark, sf_dir, parts=True).attributes()
     return rows.select("o_orderkey", short_list("part_ids").alias("part_ids"))
 
 
@@ -125,5 +126,5 @@ def sink_attrs(spark, sf_dir):
     c = documents(spark, sf_dir)
     labels = table(spark, sf_dir, "labels")
     updates = labels.select("doc_id", (F.col("quality") * 1000 + F.col("toxic")).alias("n_chars"))
-    updated = update_attributes(c, updates).df.select("doc_id", "lang", "n_chars")
+    updated = update_attributes(c, updates).attributes().select("doc_id", "lang", "n_chars")
     return persist_attributes(updated, new_folder(spark, "attrs"))

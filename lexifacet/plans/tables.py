@@ -7,7 +7,7 @@ from dataclasses import replace
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..sources.collection import Collection, gather_values
+from ..sources.collection import Collection, gathered
 from ..sources.documents import read_table
 
 TEXT_TABLES = {"documents": "doc_id", "pages": "page_id"}
@@ -31,13 +31,14 @@ def with_tags(df: DataFrame, id: str) -> DataFrame:
 
 def documents(spark: SparkSession, sf_dir: str, labels: bool = False, name: str = "docs") -> Collection:
     """Documents with title and body. ``labels`` adds quality and toxic, NULL where a
-    document has none; without it nothing is joined."""
+    document has none."""
     df = with_tags(with_title(table(spark, sf_dir, "documents")), "doc_id")
     attrs = ["lang", "source", "n_chars", "tags"]
+    sides = []
     if labels:
-        df = df.join(table(spark, sf_dir, "labels"), "doc_id", "left")
+        sides.append(table(spark, sf_dir, "labels"))
         attrs += ["quality", "toxic"]
-    return Collection(name, df, "doc_id", ("title", "body"), attrs)
+    return Collection(name, df, "doc_id", ("title", "body"), attrs, sides=sides)
 
 
 def labelled(spark: SparkSession, sf_dir: str) -> Collection:
@@ -46,18 +47,19 @@ def labelled(spark: SparkSession, sf_dir: str) -> Collection:
     ids = table(spark, sf_dir, "labels").select("doc_id")
     df = c.df.join(ids, "doc_id", "left_semi")
     df = df.withColumns({"body": F.lit(""), "n_chars": F.col("n_chars") + 1})
-    return c.with_frame(df)
+    return replace(c, df=df)
 
 
 def orders(spark: SparkSession, sf_dir: str, parts: bool = False) -> Collection:
     """Orders without text. ``parts`` gathers the part keys of each order's lines."""
     df = table(spark, sf_dir, "orders")
     attrs = ["o_custkey", "o_orderstatus", "o_orderpriority", "o_totalprice", "o_orderdate"]
+    sides = []
     if parts:
         lines = table(spark, sf_dir, "lineitem")
-        df = gather_values(df, lines, "o_orderkey", "l_orderkey", "l_partkey", "part_ids")
+        sides.append(gathered(lines, "o_orderkey", "l_orderkey", "l_partkey", "part_ids"))
         attrs.append("part_ids")
-    return Collection("orders", df, "o_orderkey", (), attrs)
+    return Collection("orders", df, "o_orderkey", (), attrs, sides=sides)
 
 
 def products(spark: SparkSession, sf_dir: str) -> Collection:

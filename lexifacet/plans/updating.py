@@ -28,7 +28,7 @@ LABELLED = "documents d LEFT JOIN labels l ON l.doc_id = d.doc_id"
 @query("update_attrs", f"SELECT d.doc_id, d.lang, {NEW_SIZE} AS n_chars FROM {LABELLED}")
 def update_attrs(spark, sf_dir):
     c = U.update_attributes(documents(spark, sf_dir), new_sizes(spark, sf_dir))
-    return c.df.select("doc_id", "lang", "n_chars")
+    return c.attributes().select("doc_id", "lang", "n_chars")
 
 
 @query("update_count", "SELECT count(*) AS n_updated FROM documents WHERE doc_id IN (SELECT doc_id FROM labels)")
@@ -48,14 +48,14 @@ def update_mva(spark, sf_dir):
     new = F.array(F.lit(9), F.col("quality"), F.col("toxic"), F.lit(9)).alias("tags")
     updates = table(spark, sf_dir, "labels").select("doc_id", new)
     c = U.update_attributes(documents(spark, sf_dir), updates)
-    return c.df.select("doc_id", short_list("tags").alias("tags"))
+    return c.attributes().select("doc_id", short_list("tags").alias("tags"))
 
 
 @query("update_ignore_missing", f"SELECT d.doc_id, {NEW_SIZE} AS n_chars FROM {LABELLED}")
 def update_ignore_missing(spark, sf_dir):
     updates = new_sizes(spark, sf_dir).withColumn("no_such_attribute", F.lit(1))
     c = U.update_attributes(documents(spark, sf_dir), updates, ignore_missing=True)
-    return c.df.select("doc_id", "n_chars")
+    return c.attributes().select("doc_id", "n_chars")
 
 
 @query("update_multi", "SELECT (count(*) * 2)::BIGINT AS n_updated FROM documents WHERE doc_id IN (SELECT doc_id FROM labels)")

@@ -24,7 +24,7 @@ from .operators import match as m
 from .operators import order as o
 from .operators.keywords import word_stats
 from .operators.merge import merge_collections
-from .operators.overrides import apply_override, check_values, override_frame
+from .operators.overrides import check_values, override_frame
 from .operators.rank import MODE_RANKERS, RANKERS, Ranking, positional_weights
 from .sources.collection import Collection
 
@@ -163,36 +163,31 @@ class Search:
 
     # -- filters -----------------------------------------------------------------
 
-    def _filtered(self, make) -> Search:
-        return replace(self, filters=(*self.filters, make))
+    def _filtered(self, attr: str, make) -> Search:
+        """Add a filter; one on a computed column waits until that column exists."""
+        if all(attr in (c.id, *c.attrs) for c in self.collections):
+            return replace(self, filters=(*self.filters, (attr, make)))
+        if attr not in self.computed_names():
+            raise ValueError(f"no such attribute: {attr}")
+        return replace(self, computed_filters=(*self.computed_filters, make))
 
     def filter_values(self, attr: str, values, exclude: bool = False) -> Search:
         attr = o.MAGIC_COLUMNS.get(_text(attr, "attribute"), attr)
         flt.values(attr, values, False, exclude)
-        return self._filtered(lambda s: flt.values(attr, values, flt.is_multi(s, attr), exclude)).needs(attr)
+        return self._filtered(attr, lambda s: flt.values(attr, values, flt.is_multi(s, attr), exclude))
 
     def filter_range(self, attr: str, low: int, high: int, exclude: bool = False) -> Search:
         attr = o.MAGIC_COLUMNS.get(_text(attr, "attribute"), attr)
         flt.int_range(attr, low, high, False, exclude)
-        return self._filtered(lambda s: flt.int_range(attr, low, high, flt.is_multi(s, attr), exclude)).needs(attr)
+        return self._filtered(
+            attr, lambda s: flt.int_range(attr, low, high, flt.is_multi(s, attr), exclude)
+        )
 
     def filter_float_range(self, attr: str, low: float, high: float, exclude: bool = False) -> Search:
         attr = o.MAGIC_COLUMNS.get(_text(attr, "attribute"), attr)
         flt.float_range(attr, low, high, False, exclude)
         return self._filtered(
-            lambda s: flt.float_range(attr, low, high, flt.is_multi(s, attr), exclude)
-        ).needs(attr)
-
-    def needs(self, attr: str) -> Search:
-        """Move the last filter behind ranking when it reads a computed column."""
-        if all(attr in (c.id, *c.attrs) for c in self.collections):
-            return self
-        if attr not in self.computed_names():
-            raise ValueError(f"no such attribute: {attr}")
-        return replace(
-            self,
-            filters=self.filters[:-1],
-            computed_filters=(*self.computed_filters, self.filters[-1]),
+            attr, lambda s: flt.float_range(attr, low, high, flt.is_multi(s, attr), exclude)
         )
 
     def computed_names(self) -> set[str]:
@@ -226,7 +221,7 @@ class Search:
         return replace(self, overrides=(*rest, (attr, kind, dict(values))))
 
     def override_frame(self, attr: str, values: DataFrame) -> Search:
-        """As :meth:`override`, with (id, value) rows of any number."""
+        """As :meth:`override`, with (id, attribute) rows of any number."""
         rest = tuple(x for x in self.overrides if x[0] != _text(attr, "attribute"))
         return replace(self, overrides=(*rest, (attr, "frame", values)))
 
@@ -303,16 +298,29 @@ class Search:
             return self.tree
         return None if self.mode == "fullscan" else m.from_text(self.text, self.mode, c.stopwords)
 
-    def _narrow(self, c: Collection, df: DataFrame, tree: m.Condition | None) -> DataFrame:
+    def _overlaid(self, c: Collection) -> Collection:
+        """The collection with this query's overrides on top."""
+        frames = []
         for attr, kind, values in self.overrides:
             if attr not in c.attrs:
                 raise ValueError(f"no such attribute: {attr}")
-            frame = values if kind == "frame" else override_frame(df.sparkSession, c.id, kind, values)
-            df = apply_override(df, c.id, attr, frame)
-        tests = [make(df.schema) for make in self.filters] + [flt.id_range(c.id, *self.ids)]
-        for test in tests:
-            if test is not None:
-                df = df.filter(test)
+            if kind != "frame":
+                values = override_frame(c.df.sparkSession, c.id, attr, kind, values)
+            frames.append(values)
+        return replace(c, overlays=(*c.overlays, *frames)) if frames else c
+
+    def _filter(self, df: DataFrame, attrs) -> DataFrame:
+        for attr, make in self.filters:
+            test = make(df.schema) if attr in attrs else None
+            df = df if test is None else df.filter(test)
+        return df
+
+    def _narrow(self, c: Collection, df: DataFrame, tree: m.Condition | None) -> DataFrame:
+        """Everything that can be decided before tokenizing: filters that reach the
+        scan, and for words whether the raw text contains them at all."""
+        df = self._filter(df, {c.id, *c.settled_attrs})
+        ids = flt.id_range(c.id, *self.ids)
+        df = df if ids is None else df.filter(ids)
         texts = c.raw_texts()
         hint = tree.may_hold(c, texts) if tree is not None and texts else None
         return df if hint is None else df.filter(hint)
@@ -323,6 +331,7 @@ class Search:
 
     def hit_rows(self, c: Collection) -> tuple[DataFrame, m.Condition | None]:
         """Matching documents of one collection with their hits, not yet weighted."""
+        c = self._overlaid(c)
         tree = self._tree(c)
         if tree is None:
             plain = self._narrow(c, c.rows(), None).drop(*c.fields)
@@ -332,6 +341,7 @@ class Search:
         else:
             df = c.hit_rows(m.any_word_test(tree, c), lambda rows: self._narrow(c, rows, tree))
             df = df.filter(tree.holds(c, c.field_hits()))
+        df = self._filter(c.finish(df), set(c.attrs) - set(c.settled_attrs))
         if self.cutoff:
             df = df.orderBy(c.id).limit(self.cutoff)
         return df, tree
@@ -398,9 +408,9 @@ class Search:
             keys = [("sort_expr", False)]
         return df, o.with_tie_break(keys, self.id)
 
-    def groups(self) -> DataFrame:
+    def groups(self, found: DataFrame | None = None) -> DataFrame:
         """All groups with their best match. Not sorted or cut."""
-        df, keys = self._sorted(self.found())
+        df, keys = self._sorted(self.found() if found is None else found)
         attr, func, _ = self.group
         df = grp.with_group_key(df, attr, func, self.collections[0].attrs)
         return grp.best_per_group(df, keys, self.distinct, self.group_columns, self.distinct_error)
@@ -419,13 +429,17 @@ class Search:
         """All matches with the selected columns only. Not sorted or cut."""
         return self._visible(self.found())
 
-    def matches(self) -> DataFrame:
-        """The page of matches, or of groups, in order."""
+    def matches(self, found: DataFrame | None = None) -> DataFrame:
+        """The page of matches, or of groups, in order.
+
+        ``found`` is a stored result of :meth:`found`, to page it again without
+        matching and ranking again.
+        """
         if self.group is not None:
-            df = self.groups()
+            df = self.groups(found)
             keys = o.with_tie_break(o.order_keys(self.group[2], self.id), "group_key")
         else:
-            df, keys = self._sorted(self.found())
+            df, keys = self._sorted(self.found() if found is None else found)
         df = self._visible(df) if self.outer is None else df
         if self.outer is None:
             return o.page(df, keys, self.max_matches, self.offset, self.limit)
@@ -435,9 +449,11 @@ class Search:
         again = o.with_tie_break(o.order_keys(order_by, self.id), last)
         return o.page(self._visible(kept), again, self.max_matches, offset, limit)
 
-    def totals(self) -> DataFrame:
+    def totals(self, found: DataFrame | None = None) -> DataFrame:
         """One row: total, total_found. They count groups when there are any."""
-        return o.totals(self.groups() if self.group is not None else self.found(), self.max_matches)
+        if self.group is not None:
+            return o.totals(self.groups(found), self.max_matches)
+        return o.totals(self.found() if found is None else found, self.max_matches)
 
     def words(self) -> DataFrame | None:
         """(word, docs, hits) of the query's words over the whole first collection."""

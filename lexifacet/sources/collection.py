@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable
-from dataclasses import dataclass, field, replace
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType
 
 from ..functions import hits as H
 from ..functions import text as T
@@ -22,6 +23,22 @@ class FieldHits:
     length: Column
 
 
+def replace_values(df: DataFrame, id: str, values: DataFrame) -> DataFrame:
+    """Put the columns of ``values`` in place on its ids; other rows stay.
+
+    An equi-join on the id without a hint: Spark broadcasts the values only when
+    their known size is below its threshold.
+    """
+    names = [c for c in values.columns if c != id]
+    new = values.select(id, F.lit(True).alias("_hit"), *[F.col(c).alias(f"_new_{c}") for c in names])
+    joined = df.join(new, id, "left")
+    columns = {
+        c: F.when(F.col("_hit"), F.col(f"_new_{c}").cast(df.schema[c].dataType)).otherwise(F.col(c))
+        for c in names
+    }
+    return joined.withColumns(columns).select(*df.columns)
+
+
 def forms_of(word: str, wordforms: dict[str, str]) -> list[str]:
     """The tokens that stand for a query word: all with its normal form."""
     normal = wordforms.get(word, word)
@@ -46,6 +63,11 @@ class Lexicon:
 class Collection:
     """Rows with one id column, ordered text fields and attributes.
 
+    Attributes may stand apart from the text: ``sides`` are frames of the id and
+    some attributes, at most one row per id, and ``overlays`` are replaced values.
+    Both are joined on the id after matching, when the text columns are gone, so
+    a text never goes through an exchange because of an attribute.
+
     ``stopwords`` are ignored in query texts (token positions stay as they are);
     ``wordforms`` maps a token to its normal form, so a query word meets every
     token with the same normal form.
@@ -58,28 +80,59 @@ class Collection:
     attrs: tuple[str, ...] = ()
     stopwords: frozenset[str] = frozenset()
     wordforms: dict[str, str] = field(default_factory=dict, hash=False)
+    sides: tuple[DataFrame, ...] = ()
+    overlays: tuple[DataFrame, ...] = ()
 
     def __post_init__(self):
-        object.__setattr__(self, "fields", tuple(self.fields))
-        object.__setattr__(self, "attrs", tuple(self.attrs))
+        for name in ("fields", "attrs", "sides", "overlays"):
+            object.__setattr__(self, name, tuple(getattr(self, name)))
         object.__setattr__(self, "stopwords", frozenset(self.stopwords))
-        missing = [c for c in (self.id, *self.fields, *self.attrs) if c not in self.df.columns]
+        known = {c for frame in (self.df, *self.sides) for c in frame.columns}
+        missing = [c for c in (self.id, *self.fields, *self.attrs) if c not in known]
         if missing:
             raise ValueError(f"collection {self.name}: no such column {missing}")
 
-    def with_frame(self, df: DataFrame) -> Collection:
-        return replace(self, df=df)
-
     # -- query words -----------------------------------------------------------
 
     def forms(self, word: str) -> list[str]:
         return forms_of(word, self.wordforms)
 
+    # -- attributes ------------------------------------------------------------
+
+    @property
+    def own_attrs(self) -> list[str]:
+        """Attributes that stand beside the text."""
+        return [a for a in self.attrs if a in self.df.columns]
+
+    @property
+    def settled_attrs(self) -> list[str]:
+        """Own attributes without replaced values: a filter on them can go to the scan."""
+        replaced = {c for frame in self.overlays for c in frame.columns}
+        return [a for a in self.own_attrs if a not in replaced]
+
+    def finish(self, df: DataFrame) -> DataFrame:
+        """Join the attributes that stand apart and put replaced values in place."""
+        for side in self.sides:
+            names = [c for c in side.columns if c in self.attrs]
+            df = df.join(side.select(self.id, *names), self.id, "left")
+            for name in names:
+                kind = side.schema[name].dataType
+                if isinstance(kind, ArrayType):
+                    df = df.withColumn(name, F.coalesce(name, F.array().cast(kind)))
+        for frame in self.overlays:
+            df = replace_values(df, self.id, frame)
+        return df
+
+    def attributes(self) -> DataFrame:
+        """Id and current attributes of every document; no text is read."""
+        df = self.finish(self.df.select(self.id, *self.own_attrs))
+        return df.select(self.id, *self.attrs)
+
     # -- frames ----------------------------------------------------------------
 
     def rows(self) -> DataFrame:
-        """Id, attributes and fields, nothing else: the scan reads only these."""
-        return self.df.select(self.id, *self.attrs, *self.fields)
+        """Id, own attributes and fields, nothing else: the scan reads only these."""
+        return self.df.select(self.id, *self.own_attrs, *self.fields)
 
     def raw_texts(self) -> list[Column]:
         """Lower-cased raw fields: a token can only be in a text that contains it, a
@@ -139,14 +192,9 @@ def postings(collection: Collection) -> DataFrame:
     return collection.df.select(collection.id, F.inline(every))
 
 
-def gather_values(df: DataFrame, side: DataFrame, id: str, side_id: str, value: str, name: str) -> DataFrame:
-    """Attach the sorted distinct ``value``s of a side table as an array attribute.
+def gathered(side: DataFrame, id: str, side_id: str, value: str, name: str) -> DataFrame:
+    """(id, name): the sorted distinct ``value``s of a side table as an array per id.
 
-    Duplicates fall away before the exchange (map-side partial sets); ids without
-    rows get an empty array.
+    Duplicates fall away in map-side partial sets before the exchange.
     """
-    gathered = side.groupBy(F.col(side_id).alias(id)).agg(
-        F.array_sort(F.collect_set(value)).alias(name)
-    )
-    empty = F.array().cast(gathered.schema[name].dataType)
-    return df.join(gathered, id, "left").withColumn(name, F.coalesce(name, empty))
+    return side.groupBy(F.col(side_id).alias(id)).agg(F.array_sort(F.collect_set(value)).alias(name))

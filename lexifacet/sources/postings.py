@@ -14,7 +14,7 @@ word in a third of all documents ends up in many files, not in one.
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, fields
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -103,8 +103,8 @@ class IndexedCollection(Collection):
     buckets: int = 64
 
     def __post_init__(self):
-        object.__setattr__(self, "fields", tuple(self.fields))
-        object.__setattr__(self, "attrs", tuple(self.attrs))
+        for name in ("fields", "attrs", "sides", "overlays"):
+            object.__setattr__(self, name, tuple(getattr(self, name)))
         object.__setattr__(self, "stopwords", frozenset(self.stopwords))
 
     @property
@@ -112,7 +112,7 @@ class IndexedCollection(Collection):
         return self.df.sparkSession
 
     def rows(self) -> DataFrame:
-        return self.df.select(self.id, *self.attrs, *[f"_len_{i}" for i in range(len(self.fields))])
+        return self.df.select(self.id, *self.own_attrs, *[f"_len_{i}" for i in range(len(self.fields))])
 
     def raw_texts(self) -> list[Column]:
         return []
@@ -180,14 +180,5 @@ class IndexedCollection(Collection):
 def open_postings(collection: Collection, path: str, buckets: int = 64) -> IndexedCollection:
     """The collection over a path written by :func:`write_postings`."""
     docs = collection.df.sparkSession.read.parquet(f"{path}/docs")
-    return IndexedCollection(
-        collection.name,
-        docs,
-        collection.id,
-        collection.fields,
-        collection.attrs,
-        collection.stopwords,
-        collection.wordforms,
-        path,
-        buckets,
-    )
+    settings = {f.name: getattr(collection, f.name) for f in fields(Collection)}
+    return IndexedCollection(**{**settings, "df": docs}, path=path, buckets=buckets)
