@@ -7,7 +7,6 @@ any number of documents is a single stage without an exchange.
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import reduce
 from numbers import Integral
 
 from pyspark.sql import Column, DataFrame
@@ -16,7 +15,7 @@ from pyspark.sql import functions as F
 from ..functions import hits as H
 from ..functions import text as T
 from ..sources.collection import FieldHits, Lexicon
-from .match import Condition, Or, Phrase, Word, all_of, any_of, distinct_words, word_sequence
+from .match import Condition, Or, Phrase, Word, all_of, any_of, any_word_test, distinct_words, word_sequence
 
 SENTENCE = r"([^.!?]+[.!?]*|[.!?]+)"
 STRIP_MODES = ("none", "strip")
@@ -61,6 +60,10 @@ class ExcerptOptions:
             raise ValueError(f"passage_boundary must be one of {BOUNDARIES}")
 
 
+def _anchored(leaf: Condition) -> bool:
+    return isinstance(leaf, Word) and (leaf.first or leaf.last)
+
+
 class _Marker:
     """Which tokens of a text are hits, for one set of words."""
 
@@ -84,10 +87,15 @@ class _Marker:
 
     def at(self, tokens: Column, i: Column) -> Column:
         """True when token ``i`` is a hit."""
-        return any_of([self._leaf_at(leaf, tokens, i) for leaf in self.leaves])
+        return self._hit(tokens, F.get(tokens, i), i)
 
-    def _leaf_at(self, leaf, tokens: Column, i: Column) -> Column:
-        word = F.get(tokens, i)
+    def _hit(self, tokens: Column, word: Column, i: Column) -> Column:
+        plain = [leaf for leaf in self.leaves if not isinstance(leaf, Phrase) and not _anchored(leaf)]
+        rest = [leaf for leaf in self.leaves if leaf not in plain]
+        tests = [any_word_test(Or(*plain), self.lexicon)(word)] if plain else []
+        return any_of(tests + [self._leaf_at(leaf, tokens, word, i) for leaf in rest])
+
+    def _leaf_at(self, leaf, tokens: Column, word: Column, i: Column) -> Column:
         if isinstance(leaf, Phrase):
             query = [(at, w.test(self.lexicon)) for at, w in leaf.kept(self.lexicon)]
             places = [
@@ -106,7 +114,8 @@ class _Marker:
 
     def positions(self, tokens: Column) -> Column:
         return F.filter(
-            F.transform(tokens, lambda _, i: F.when(self.at(tokens, i), i)), lambda i: i.isNotNull()
+            F.transform(tokens, lambda w, i: F.when(self._hit(tokens, w, i), i)),
+            lambda i: i.isNotNull(),
         )
 
     def applies(self, text: Column) -> Column:
@@ -191,30 +200,21 @@ def _passages_of(text: Column, segment: Column, marker: _Marker, o: ExcerptOptio
 
         def describe(x: Column) -> Column:
             s, e, own = x["s"], x["e"], x["own"]
-            cover = F.array(
-                *[F.exists(own, lambda h: test(F.get(ws, h))) for test in marker.tests]
-            )
-            distinct = reduce(
-                lambda a, b: a + b,
-                [F.exists(own, lambda h: test(F.get(ws, h))).cast("int") for test in marker.tests],
-            )
+            found = [F.exists(own, lambda h: test(F.get(ws, h))) for test in marker.tests]
             raw = F.slice(ps, off + 2 * s + 1, 2 * (e - s) + 1)
-
-            def mark(p: Column, k: Column) -> Column:
-                hit = (k % 2 == 0) & F.array_contains(own, s + F.floor(k / 2).cast("int"))
-                return F.when(
-                    hit, F.concat(F.lit(o.before_match), p, F.lit(o.after_match))
-                ).otherwise(p)
-
-            return F.struct(
-                (-distinct).alias("nd"),
-                (-F.size(own)).alias("nh"),
-                segment.alias("seg"),
-                s.alias("s"),
-                F.length(F.array_join(raw, "")).alias("len"),
-                (e - s + 1).alias("words"),
-                cover.alias("cover"),
-                F.array_join(F.transform(raw, mark), "").alias("txt"),
+            return T.let(
+                F.struct(F.array(*found).alias("cover"), raw.alias("raw")),
+                lambda y: F.struct(
+                    (-F.size(F.filter(y["cover"], lambda c: c))).alias("nd"),
+                    (-F.size(own)).alias("nh"),
+                    segment.alias("seg"),
+                    s.alias("s"),
+                    F.length(F.array_join(y["raw"], "")).alias("len"),
+                    (e - s + 1).alias("words"),
+                    y["cover"].alias("cover"),
+                    y["raw"].alias("raw"),
+                    own.alias("own"),
+                ),
             )
 
         return T.let(marker.positions(ws), from_hits)
@@ -222,6 +222,16 @@ def _passages_of(text: Column, segment: Column, marker: _Marker, o: ExcerptOptio
     return _with_tokens(text, passages)
 
 
+def _marked(p: Column, o: ExcerptOptions) -> Column:
+    """The text of a passage with its hits marked."""
+
+    def mark(piece: Column, k: Column) -> Column:
+        hit = (k % 2 == 0) & F.array_contains(p["own"], p["s"] + F.floor(k / 2).cast("int"))
+        return F.when(hit, F.concat(F.lit(o.before_match), piece, F.lit(o.after_match))).otherwise(piece)
+
+    return F.array_join(F.transform(p["raw"], mark), "")
+
+
 def _kept(best_first: Column, marker: _Marker, o: ExcerptOptions) -> Column:
     """The passages that fit, best first; the first one always does."""
     zero = F.struct(F.lit(0).alias("len"), F.lit(0).alias("words"), F.lit(0).alias("n"), F.lit(0).alias("r"))
@@ -269,9 +279,11 @@ def _passage_texts(text: Column, marker: _Marker, o: ExcerptOptions) -> Column:
     def choose(best_first: Column) -> Column:
         kept = _kept(best_first, marker, o)
         if o.weight_order:
-            return F.transform(kept, lambda p: p["txt"])
-        placed = F.transform(kept, lambda p: F.struct(p["seg"].alias("seg"), p["s"].alias("s"), p["txt"].alias("txt")))
-        return F.transform(F.sort_array(placed), lambda p: p["txt"])
+            return F.transform(kept, lambda p: _marked(p, o))
+        placed = F.transform(
+            kept, lambda p: F.struct(p["seg"].alias("seg"), p["s"].alias("s"), p.alias("p"))
+        )
+        return F.transform(F.sort_array(placed), lambda x: _marked(x["p"], o))
 
     return T.let(F.sort_array(every), choose)
 

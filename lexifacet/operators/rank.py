@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import hits as H
 from ..sources.collection import Collection, FieldHits
-from .match import Condition, distinct_words, word_sequence
+from .match import Condition, any_of, distinct_words, word_sequence
 
 RANKERS = (
     "proximity_bm25",
@@ -75,149 +76,160 @@ class Ranking:
     def weight_of(self, f: FieldHits) -> Column:
         return F.lit(field_weight(f.name, self.weights)).cast("long")
 
-    # -- factors per field -------------------------------------------------------
+    # -- factors -------------------------------------------------------------------
+    #
+    # Each factor is one column, named by :meth:`_name`, that walks the hits once.
+    # Weights are formulas over those columns, so no walk is repeated.
+
+    def is_query_word(self, w: Column) -> Column:
+        return any_of([test(w) for test in self.tests])
 
     def lcs(self, f: FieldHits) -> Column:
         return H.longest_common_run(f.hits, self.sequence).cast("long")
 
     def hit_count(self, f: FieldHits) -> Column:
-        return H.count_hits(f.hits, lambda w: self.is_query_word(w)).cast("long")
-
-    def is_query_word(self, w: Column) -> Column:
-        out = self.tests[0](w)
-        for test in self.tests[1:]:
-            out = out | test(w)
-        return out
+        return H.count_hits(f.hits, self.is_query_word).cast("long")
 
     def word_count(self, f: FieldHits) -> Column:
-        out = F.lit(0).cast("long")
-        for test in self.tests:
-            out = out + H.has_hit(f.hits, test).cast("long")
-        return out
+        found = [H.has_hit(f.hits, test).cast("long") for test in self.tests]
+        return reduce(lambda a, b: a + b, found)
 
     def min_hit_pos(self, f: FieldHits) -> Column:
         own = F.filter(f.hits, lambda h: self.is_query_word(h["w"]))
         return F.get(own, F.lit(0))["p"].cast("long")
 
     def exact_hit(self, f: FieldHits) -> Column:
+        """The field is the query: as long as it, and one run covers it."""
         m = len(self.sequence)
-        return (f.length == m) & (H.longest_common_run(f.hits, self.sequence) == m)
+        return (f.length == m) & (self.of(f, "lcs") == m)
+
+    FACTORS = ("lcs", "hit_count", "word_count", "min_hit_pos", "exact_hit")
+
+    def of(self, f: FieldHits, factor: str) -> Column:
+        return F.col(self._name(f, factor))
+
+    def _name(self, f: FieldHits, factor: str) -> str:
+        return f"_{factor}_{self.collection.fields.index(f.name)}"
+
+    def with_factors(self, df: DataFrame, *names: str) -> DataFrame:
+        """Add the named factors of every field; those built on others come last."""
+        walked = [n for n in names if n != "exact_hit"]
+        df = df.withColumns({self._name(f, n): getattr(self, n)(f) for n in walked for f in self.fields})
+        if "exact_hit" in names:
+            df = df.withColumns({self._name(f, "exact_hit"): self.exact_hit(f) for f in self.fields})
+        return df
 
     def over_fields(self, term) -> Column:
-        out = None
-        for f in self.fields:
-            out = term(f) if out is None else out + term(f)
-        return out
+        return reduce(lambda a, b: a + b, [term(f) for f in self.fields])
 
     # -- weights -----------------------------------------------------------------
 
     def proximity(self) -> Column:
-        return self.over_fields(lambda f: self.lcs(f) * self.weight_of(f))
+        return self.over_fields(lambda f: self.of(f, "lcs") * self.weight_of(f))
 
     def wordcount(self) -> Column:
-        return self.over_fields(lambda f: self.hit_count(f) * self.weight_of(f))
+        return self.over_fields(lambda f: self.of(f, "hit_count") * self.weight_of(f))
 
     def matchany(self) -> Column:
         k = len(self.tests) * len(self.fields)
 
         def one(f):
-            lcs = self.lcs(f)
-            score = self.word_count(f) + (lcs - 1) * k
-            return F.when(lcs > 0, score * self.weight_of(f)).otherwise(F.lit(0).cast("long"))
+            score = self.of(f, "word_count") + (self.of(f, "lcs") - 1) * k
+            none = F.lit(0).cast("long")
+            return F.when(self.of(f, "lcs") > 0, score * self.weight_of(f)).otherwise(none)
 
         return self.over_fields(one)
 
     def fieldmask(self) -> Column:
-        out = F.lit(0).cast("long")
-        for i, f in enumerate(self.fields):
-            out = out + F.when(self.hit_count(f) > 0, 1 << i).otherwise(0)
-        return out
+        bits = [
+            F.when(self.of(f, "hit_count") > 0, 1 << i).otherwise(0) for i, f in enumerate(self.fields)
+        ]
+        return reduce(lambda a, b: a + b, bits).cast("long")
 
     def head_exact(self) -> Column:
         def one(f):
-            head = F.coalesce(self.min_hit_pos(f) == 0, F.lit(False))
-            boost = F.when(head, 2).otherwise(0) + F.when(self.exact_hit(f), 1).otherwise(0)
-            return (4 * self.lcs(f) + boost) * self.weight_of(f)
+            head = F.when(self.of(f, "min_hit_pos") == 0, 2).otherwise(0)
+            exact = F.when(self.of(f, "exact_hit"), 1).otherwise(0)
+            return (4 * self.of(f, "lcs") + head + exact) * self.weight_of(f)
 
         return self.over_fields(one) * 1000 + F.col("bm25")
 
     def bm25(self, stats: Column) -> Column:
-        """Integer 0..999; ``stats`` is the one-row struct of collection statistics."""
+        """Integer 0..999 over the ``_tf_k`` columns; ``stats`` is the one-row struct of
+        collection statistics."""
         length = self.over_fields(lambda f: f.length).cast("double")
         mean = stats["total_len"] / stats["n_docs"]
         norm = 1 - BM25_B + BM25_B * length / mean
         score = best = F.lit(0.0)
-        for k, test in enumerate(self.tests):
-            tf = self.over_fields(lambda f: H.count_hits(f.hits, test)).cast("double")
-            weight = idf(stats["n_docs"].cast("double"), stats[f"df_{k}"].cast("double"), self.idf_flavour)
-            score = score + F.when(
-                tf > 0, weight * tf * (BM25_K1 + 1) / (tf + BM25_K1 * norm)
-            ).otherwise(0.0)
+        for k in range(len(self.tests)):
+            tf = F.col(f"_tf_{k}")
+            docs = stats[f"df_{k}"].cast("double")
+            weight = idf(stats["n_docs"].cast("double"), docs, self.idf_flavour)
+            gain = weight * tf * (BM25_K1 + 1) / (tf + BM25_K1 * norm)
+            score = score + F.when(tf > 0, gain).otherwise(0.0)
             best = best + weight * (BM25_K1 + 1)
         scaled = F.floor(F.round(1000 * score / best, 9))
-        return F.when(best > 0, F.least(F.greatest(scaled, F.lit(0)), F.lit(999))).otherwise(0).cast("long")
+        clamped = F.least(F.greatest(scaled, F.lit(0)), F.lit(999))
+        return F.when(best > 0, clamped).otherwise(0).cast("long")
 
     def with_bm25(self, df: DataFrame) -> DataFrame:
         """Add ``bm25``. The collection's statistics arrive as a scalar subquery:
         one aggregated row, no join."""
         stats = self.collection.stats(self.tests)
         one = stats.select(F.struct(*stats.columns).alias("stats")).scalar()
-        return (
-            df.withColumn("_stats", one)
-            .withColumn("bm25", self.bm25(F.col("_stats")))
-            .drop("_stats")
-        )
+        counts = {}
+        for k, test in enumerate(self.tests):
+            counts[f"_tf_{k}"] = self.over_fields(lambda f: H.count_hits(f.hits, test)).cast("double")
+        df = df.withColumns({**counts, "_stats": one})
+        return df.withColumn("bm25", self.bm25(F.col("_stats"))).drop("_stats", *counts)
+
+    # Which factors each ranker reads, and whether it reads bm25.
+    NEEDS = {
+        "proximity": ("lcs",),
+        "proximity_bm25": ("lcs",),
+        "wordcount": ("hit_count",),
+        "matchany": ("lcs", "word_count"),
+        "fieldmask": ("hit_count",),
+        "head_exact": ("lcs", "min_hit_pos", "exact_hit"),
+        "expr": FACTORS,
+    }
+    WITH_BM25 = ("bm25", "proximity_bm25", "head_exact", "expr")
 
     def weighted(self, df: DataFrame, ranker: str, expr: tuple[str, str] | None = None) -> DataFrame:
         """Add ``weight`` to a frame of hit rows."""
-        if ranker == "none":
-            return df.withColumn("weight", F.lit(1).cast("long"))
-        if ranker in ("proximity", "wordcount", "matchany", "fieldmask"):
-            return df.withColumn("weight", getattr(self, ranker)().cast("long"))
-        df = self.with_bm25(df)
-        if ranker == "bm25":
+        kept = df.columns
+        df = self.with_factors(df, *self.NEEDS.get(ranker, ()))
+        if ranker in self.WITH_BM25:
+            df = self.with_bm25(df)
+        if ranker == "expr":
+            df, weight = self.by_formula(df, *expr)
+        elif ranker == "none":
+            weight = F.lit(1)
+        elif ranker == "bm25":
             weight = F.col("bm25")
         elif ranker == "proximity_bm25":
             weight = self.proximity() * 1000 + F.col("bm25")
-        elif ranker == "head_exact":
-            weight = self.head_exact()
         else:
-            return self.weighted_by_formula(df, *expr)
-        return df.withColumn("weight", weight.cast("long")).drop("bm25")
-
-    def factor_columns(self, f: FieldHits) -> dict[str, Column]:
-        return {
-            "lcs": self.lcs(f),
-            "hit_count": self.hit_count(f),
-            "word_count": self.word_count(f),
-            "min_hit_pos": self.min_hit_pos(f),
-            "exact_hit": self.exact_hit(f),
-            "user_weight": self.weight_of(f),
-        }
-
-    def weighted_by_formula(self, df: DataFrame, per_field: str, per_document: str) -> DataFrame:
-        """``per_field`` is evaluated for each field over its factors and summed to
-        ``field_sum``; ``per_document`` sees ``field_sum`` and ``bm25``."""
-        kept = [c for c in df.columns if c != "bm25"]
-        out, total = df, F.lit(0)
+            weight = getattr(self, ranker)()
+        return df.select(*kept, weight.cast("long").alias("weight"))
+
+    def by_formula(self, df: DataFrame, per_field: str, per_document: str) -> tuple[DataFrame, Column]:
+        """``per_field`` is evaluated for each field over its factors and ``user_weight``
+        and summed to ``field_sum``; ``per_document`` sees ``field_sum`` and ``bm25``."""
         for i, f in enumerate(self.fields):
-            own = out.select("*", F.struct(*[c.alias(n) for n, c in self.factor_columns(f).items()]).alias("_f"))
-            scored = own.select(*out.columns, "_f.*").select(*out.columns, F.expr(per_field).alias(f"_sum_{i}"))
-            out, total = scored, total + F.col(f"_sum_{i}")
-        out = out.withColumn("field_sum", total)
-        return out.withColumn("weight", F.expr(per_document).cast("long")).select(*kept, "weight")
+            named = {n: self.of(f, n) for n in self.FACTORS}
+            own = df.select(*df.columns, *[c.alias(n) for n, c in named.items()], self.weight_of(f).alias("user_weight"))
+            df = own.select(*df.columns, F.expr(per_field).alias(f"_sum_{i}"))
+        sums = [F.col(f"_sum_{i}") for i in range(len(self.fields))]
+        return df.withColumn("field_sum", reduce(lambda a, b: a + b, sums)), F.expr(per_document)
 
     def factors(self, df: DataFrame) -> DataFrame:
         """One row per (document, field) with a hit: every ranking factor."""
-        df = self.with_bm25(df)
+        df = self.with_bm25(self.with_factors(df, *self.FACTORS))
         rows = F.array(
             *[
-                F.struct(
-                    F.lit(f.name).alias("field"),
-                    *[c.alias(n) for n, c in self.factor_columns(f).items() if n != "user_weight"],
-                )
+                F.struct(F.lit(f.name).alias("field"), *[self.of(f, n).alias(n) for n in self.FACTORS])
                 for f in self.fields
             ]
         )
-        out = df.select(self.collection.id, "bm25", F.inline(rows))
-        return out.filter(F.col("hit_count") > 0)
+        return df.select(self.collection.id, "bm25", F.inline(rows)).filter(F.col("hit_count") > 0)
