@@ -7,7 +7,8 @@ match predicates and ranking factors need no exchange at all.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -19,6 +20,26 @@ HIT_TYPE = "array<struct<p:int,w:string>>"
 WordTest = Callable[[Column], Column]
 
 
+def token_test(forms: Sequence[str], wild: Sequence[WordTest] = ()) -> WordTest:
+    """A test that passes for the given tokens and for what the wildcards accept.
+    Its ``forms`` are the tokens, or None when wildcards take part."""
+    forms = list(forms)
+
+    def test(token: Column) -> Column:
+        checks = [token.isin(forms) if len(forms) > 1 else token == forms[0]] if forms else []
+        return reduce(lambda a, b: a | b, checks + [t(token) for t in wild])
+
+    test.forms = None if wild else forms
+    return test
+
+
+def any_test(tests: Iterable[WordTest]) -> WordTest:
+    """A test that passes where any of the tests does."""
+    tests = list(tests)
+    plain = sorted({form for t in tests if t.forms is not None for form in t.forms})
+    return token_test(plain, [t for t in tests if t.forms is None])
+
+
 def positions(tokens: Column, test: WordTest) -> Column:
     """Positions of the tokens that pass ``test``."""
     return F.filter(

@@ -13,7 +13,7 @@ from ..functions import hits as H
 from ..functions import text as T
 from ..functions.calendar import CALENDAR_UNITS, calendar_key
 from ..sources.collection import Collection
-from ..sources.postings import field_postings
+from ..sources.storage import ensure_checkpoint_dir
 from .filters import is_multi
 
 
@@ -52,49 +52,63 @@ def search_table(
     mode: str = "all",
     best: int = 1000,
 ) -> DataFrame:
-    """Run a table of query texts: (query_no, id, weight), the ``best`` per query.
+    """Run a table of query texts: (query_no, id, weight), the ``best`` per query by
+    phrase proximity summed over the fields.
 
-    Every document field gives one row per distinct word; those meet the query
-    words in one equi-join on the word (a word in a third of all documents is a
-    skewed key that adaptive execution splits; the query side is broadcast only if
-    its size allows). One group is then one document for one query. The weight is
-    the phrase proximity summed over the fields.
+    ``all`` finds the candidates of a query by its rarest word alone, so a word in a
+    third of all documents is joined only for queries that have nothing rarer. Each
+    candidate is then one row that holds its query and its document. ``any`` cannot
+    skip a word: it joins on every one.
     """
     if mode not in ("all", "any"):
         raise ValueError("mode must be all or any")
-    words = T.tokenize(text)
-    asked = queries.select(F.col(query_no).alias("query_no"), words.alias("_words"))
-    asked = asked.withColumn("n_words", F.size(F.array_distinct("_words")))
-    asked = asked.select("query_no", "n_words", F.posexplode("_words").alias("qpos", "token"))
-    met = field_postings(collection).join(asked, "token")
-    row = F.struct("field", "token", "qpos", "positions")
-    grouped = met.groupBy("query_no", collection.id).agg(
-        F.first("n_words").alias("n_words"), F.collect_list(row).alias("rows")
-    )
+    asked = queries.select(F.col(query_no).alias("query_no"), T.tokenize(text).alias("_words"))
+    asked = asked.filter(F.size("_words") > 0)
+    wanted = asked.select("query_no", F.explode(F.array_distinct("_words")).alias("token"))
+    tokens = F.array_distinct(collection.all_tokens())
+    terms = collection.df.select(collection.id, F.explode(tokens).alias("token"))
+    if mode == "all":
+        # Documents per asked word; a word no document has leaves its query out.
+        common = terms.join(wanted.select("token").distinct(), "token", "left_semi")
+        counted = wanted.join(common.groupBy("token").agg(F.count(F.lit(1)).alias("docs")), "token", "left")
+        rarest = F.min_by("token", F.struct(F.coalesce("docs", F.lit(0)), "token"))
+        wanted = counted.groupBy("query_no").agg(rarest.alias("token"))
+    pairs = terms.join(wanted, "token").select("query_no", collection.id)
+    pairs = pairs if mode == "all" else pairs.distinct()
+    fields = {f"_tok_{i}": T.tokenize(f) for i, f in enumerate(collection.fields)}
+    docs = collection.df.select(collection.id, *[c.alias(n) for n, c in fields.items()])
+    rows = docs.join(pairs.join(asked, "query_no"), collection.id)
     if mode == "all":
-        distinct = F.size(F.array_distinct(F.transform("rows", lambda r: r["token"])))
-        grouped = grouped.filter(distinct == F.col("n_words"))
-
-    def proximity(field: int) -> Column:
-        pairs = F.flatten(
-            F.transform(
-                F.filter("rows", lambda r: r["field"] == field),
-                lambda r: F.transform(
-                    r["positions"],
-                    lambda p: F.struct((p - r["qpos"]).alias("d"), r["qpos"].alias("q")),
-                ),
-            )
-        )
-        return H.longest_run(F.sort_array(pairs)).cast("long")
-
-    weight = proximity(0)
-    for i in range(1, len(collection.fields)):
-        weight = weight + proximity(i)
-    weighted = grouped.select("query_no", collection.id, weight.alias("weight"))
+        every = F.concat(*fields) if len(fields) > 1 else F.col("_tok_0")
+        rows = rows.filter(F.size(F.array_except("_words", every)) == 0)
+    weight = sum((_proximity(F.col(name), F.col("_words")) for name in fields), F.lit(0).cast("long"))
+    weighted = rows.select("query_no", collection.id, weight.alias("weight"))
     w = W.partitionBy("query_no").orderBy(F.col("weight").desc(), F.col(collection.id).asc())
     return weighted.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= best).drop("_rn")
 
 
+def _proximity(tokens: Column, words: Column) -> Column:
+    """Longest run of the words in the tokens, both arrays of one row."""
+
+    def offsets(w: Column, at: Column) -> Column:
+        places = F.filter(F.transform(words, lambda q, k: F.when(q == w, k)), lambda k: k.isNotNull())
+        return F.transform(places, lambda k: F.struct((at - k).alias("d"), k.alias("q")))
+
+    hits = F.filter(
+        F.transform(tokens, lambda w, i: F.when(F.array_contains(words, w), F.struct(w.alias("w"), i.alias("p")))),
+        lambda h: h.isNotNull(),
+    )
+    pairs = F.flatten(F.transform(hits, lambda h: offsets(h["w"], h["p"])))
+    return H.longest_run(F.sort_array(pairs)).cast("long")
+
+
+def stored(found: DataFrame) -> DataFrame:
+    """A match frame kept in the checkpoint folder, for several pages, totals or
+    groupings over one match and rank; it survives the loss of an executor."""
+    ensure_checkpoint_dir(found.sparkSession)
+    return found.checkpoint()
+
+
 def run_batch(makers: Sequence[Callable[[], DataFrame]]) -> list[DataFrame | Exception]:
     """Build every query of a batch; one that cannot be built does not stop the others."""
     out: list[DataFrame | Exception] = []

@@ -105,7 +105,7 @@ class _Marker:
                 for own, _ in query
             ]
             return any_of(places)
-        checks = [any_of([w.test(self.lexicon)(word) for _, w in leaf.words()])]
+        checks = [H.any_test(w.test(self.lexicon) for _, w in leaf.words())(word)]
         if isinstance(leaf, Word) and leaf.first:
             checks.append(i == 0)
         if isinstance(leaf, Word) and leaf.last:
@@ -125,7 +125,7 @@ class _Marker:
         wanted = [w.test(self.lexicon) for part in self.tree.parts() for _, w in part.words()]
 
         def holds(tokens: Column) -> Column:
-            found = H.hits(tokens, lambda w: any_of([t(w) for t in wanted]))
+            found = H.hits(tokens, H.any_test(wanted))
             return self.tree.holds(self.lexicon, [FieldHits("text", found, F.size(tokens))])
 
         return T.let(T.tokenize(text), holds)

@@ -7,10 +7,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import hits as H
 from ..functions import text as T
 from ..functions.frames import compute_once
 from ..sources.collection import Collection
-from .match import Word, any_of
+from .match import Word
 
 
 def term_counts(tokens: Column) -> Column:
@@ -35,11 +36,6 @@ def term_counts(tokens: Column) -> Column:
     return T.let(F.sort_array(tokens), cut)
 
 
-def document_terms(collection: Collection) -> DataFrame:
-    """(id, token, hits): one row per document and distinct token."""
-    return collection.df.select(collection.id, F.inline(term_counts(collection.all_tokens())))
-
-
 def term_table(collection: Collection) -> DataFrame:
     """(token, docs, hits) of the whole vocabulary.
 
@@ -47,7 +43,7 @@ def term_table(collection: Collection) -> DataFrame:
     by a plain count that combines before the exchange.
     """
     return (
-        document_terms(collection)
+        collection.df.select(F.inline(term_counts(collection.all_tokens())))
         .groupBy("token")
         .agg(F.count(F.lit(1)).alias("docs"), F.sum("hits").alias("hits"))
     )
@@ -90,7 +86,7 @@ def word_stats(collection: Collection, words: Sequence[str]) -> DataFrame:
     """
     words = list(dict.fromkeys(words))
     tests = [Word(w).test(collection) for w in words]
-    own = F.filter(collection.all_tokens(), lambda w: any_of([t(w) for t in tests]))
+    own = F.filter(collection.all_tokens(), H.any_test(tests))
     rows = compute_once(collection.df.select(*collection.fields), {"_own": own})
     counters = []
     for k, test in enumerate(tests):

@@ -26,18 +26,6 @@ def all_of(conditions) -> Column:
     return reduce(lambda a, b: a & b, conditions)
 
 
-def token_test(forms: Sequence[str], wild: Sequence[H.WordTest] = ()) -> H.WordTest:
-    """A test that passes for the given tokens and for what the wildcards accept."""
-    forms = list(forms)
-
-    def test(token: Column) -> Column:
-        checks = [token.isin(forms) if len(forms) > 1 else token == forms[0]] if forms else []
-        return any_of(checks + [t(token) for t in wild])
-
-    test.forms = None if wild else forms
-    return test
-
-
 class Condition:
     """Base of all match conditions; ``&``, ``|`` and ``~`` combine them."""
 
@@ -91,8 +79,8 @@ class Word(Condition):
         if "*" in text:
             pattern = text.replace("\\", "\\\\").replace("%", r"\%").replace("_", r"\_")
             pattern = pattern.replace("*", "%")
-            return token_test([], [lambda w: w.like(pattern)])
-        return token_test([text] if self.exact else collection.forms(text))
+            return H.token_test([], [lambda w: w.like(pattern)])
+        return H.token_test([text] if self.exact else collection.forms(text))
 
     def holds(self, collection, fields) -> Column:
         test = self.test(collection)
@@ -296,6 +284,4 @@ def distinct_words(sequence: list[tuple[int, Word]]) -> list[Word]:
 
 def any_word_test(tree: Condition, collection: Collection) -> H.WordTest:
     """A token test that passes for the tokens of every word in the tree."""
-    tests = [w.test(collection) for part in tree.parts() for _, w in part.words()]
-    plain = sorted({form for t in tests if t.forms is not None for form in t.forms})
-    return token_test(plain, [t for t in tests if t.forms is None])
+    return H.any_test(w.test(collection) for part in tree.parts() for _, w in part.words())

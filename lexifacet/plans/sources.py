@@ -98,7 +98,7 @@ def postings_search(spark, sf_dir):
     """The same search, answered from a written word table."""
     path = new_folder(spark, "postings")
     c = documents(spark, sf_dir)
-    write_postings(c, path, buckets=16, spread=2)
+    write_postings(c, path, buckets=16)
     indexed = open_postings(c, path, buckets=16)
     return Search.over(indexed).where(And("license", "the")).found().select("doc_id", "weight", "lang")
 

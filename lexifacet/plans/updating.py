@@ -90,6 +90,26 @@ def batch_facets(spark, sf_dir):
     return B.facets(found, "doc_id", [("lang", "attr"), ("source", "attr"), ("tags", "attr")])
 
 
+@query(
+    "batch_shared",
+    f"""WITH {S.found(['the', 'of'])},
+r AS (SELECT f.doc_id, f.weight, d.lang, d.n_chars FROM f JOIN docs d ON d.doc_id = f.doc_id),
+a AS (SELECT 0 AS query_no, doc_id, weight FROM r ORDER BY weight DESC, doc_id LIMIT 20),
+b AS (SELECT 1 AS query_no, doc_id, weight FROM r ORDER BY n_chars DESC, weight DESC, doc_id LIMIT 20),
+c AS (
+  SELECT 2 AS query_no, doc_id, weight FROM r
+  QUALIFY row_number() OVER (PARTITION BY lang ORDER BY weight DESC, doc_id) = 1)
+SELECT * FROM a UNION ALL SELECT * FROM b UNION ALL SELECT * FROM c""",
+)
+def batch_shared(spark, sf_dir):
+    """Two orders and a grouping over one stored match."""
+    s = Search.over(documents(spark, sf_dir)).match("the of").limits(0, 20)
+    found = B.stored(s.found())
+    variants = [s, s.sort_by("attr_desc", "n_chars"), s.group_by("lang")]
+    pages = [v.matches(found) for v in variants]
+    return B.batch_matches(pages, ["doc_id", "weight"])
+
+
 @query(
     "batch_queries",
     f"""WITH {S.BASE},

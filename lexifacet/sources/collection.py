@@ -171,12 +171,14 @@ class Collection:
     def stats(self, tests: Iterable[H.WordTest] = ()) -> DataFrame:
         """One row: n_docs, total_len, and ``df_k`` documents per given test."""
         tests = list(tests)
-        arrays = compute_once(self.df.select(*self.fields), {"_all": self.all_tokens()})
-        flags = [
-            F.count_if(F.exists("_all", test)).alias(f"df_{k}") for k, test in enumerate(tests)
-        ]
-        total = F.coalesce(F.sum(F.size("_all")), F.lit(0)).cast("long")
-        return arrays.agg(F.count(F.lit(1)).alias("n_docs"), total.alias("total_len"), *flags)
+        every = compute_once(self.df.select(*self.fields), {"_all": self.all_tokens()})
+        columns = {"_len": F.size("_all").cast("long")}
+        if tests:
+            columns["_own"] = F.filter("_all", H.any_test(tests))
+        rows = every.select(*[c.alias(n) for n, c in columns.items()])
+        flags = [F.count_if(F.exists("_own", t)).alias(f"df_{k}") for k, t in enumerate(tests)]
+        total = F.coalesce(F.sum("_len"), F.lit(0)).alias("total_len")
+        return rows.agg(F.count(F.lit(1)).alias("n_docs"), total, *flags)
 
 
 def postings(collection: Collection) -> DataFrame:

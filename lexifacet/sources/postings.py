@@ -7,8 +7,9 @@ Three plain Parquet tables under one path:
 ``docs``      id, attributes, _len_i                attributes and field lengths
 ``terms``     bucket | token, docs, hits            collection-wide word statistics
 
-``bucket`` is a hash of the token. Rows are also spread by a hash of the id, so a
-word in a third of all documents ends up in many files, not in one.
+``bucket`` is a hash of the token. The exchange before writing is a rebalance, which
+adaptive execution splits where a partition is too large: a word in a third of all
+documents ends up in many files written by many tasks.
 """
 
 from __future__ import annotations
@@ -71,28 +72,25 @@ def bucket_of(token: Column, buckets: int) -> Column:
     return F.pmod(F.xxhash64(token), F.lit(buckets)).cast("int")
 
 
-def write_postings(collection: Collection, path: str, buckets: int = 64, spread: int = 4) -> None:
-    """Write the three tables under ``path``, which must not exist."""
-    rows = field_postings(collection).withColumn("bucket", bucket_of(F.col("token"), buckets))
-    share = F.pmod(F.xxhash64(collection.id), F.lit(spread))
+def _write_buckets(rows: DataFrame, path: str, buckets: int) -> None:
+    """Write rows with a token, one folder per bucket, sorted by token inside a file."""
+    placed = rows.withColumn("bucket", bucket_of(F.col("token"), buckets))
     (
-        rows.repartition(buckets * spread, "bucket", share)
+        placed.hint("rebalance", "bucket")
         .sortWithinPartitions("bucket", "token")
         .write.mode("errorifexists")
         .partitionBy("bucket")
-        .parquet(f"{path}/postings")
+        .parquet(path)
     )
+
+
+def write_postings(collection: Collection, path: str, buckets: int = 64) -> None:
+    """Write the three tables under ``path``, which must not exist."""
+    _write_buckets(field_postings(collection), f"{path}/postings", buckets)
+    _write_buckets(term_table(collection), f"{path}/terms", buckets)
     lengths = {f"_len_{i}": F.size(T.tokenize(f)) for i, f in enumerate(collection.fields)}
     docs = collection.rows().withColumns(lengths).drop(*collection.fields)
     docs.write.mode("errorifexists").parquet(f"{path}/docs")
-    terms = term_table(collection).withColumn("bucket", bucket_of(F.col("token"), buckets))
-    (
-        terms.repartition(buckets, "bucket")
-        .sortWithinPartitions("bucket", "token")
-        .write.mode("errorifexists")
-        .partitionBy("bucket")
-        .parquet(f"{path}/terms")
-    )
 
 
 @dataclass(frozen=True)
@@ -171,7 +169,7 @@ class IndexedCollection(Collection):
                 ids = self.of_words("postings", test).select(self.id).distinct()
                 one = ids.agg(F.count(F.lit(1)).alias("d"))
             docs.append(one.scalar().alias(f"df_{k}"))
-        one = self.spark.range(1).select(size.scalar().alias("s"), *docs)
+        one = self.spark.range(0, 1, 1, 1).select(size.scalar().alias("s"), *docs)
         return one.select(
             F.col("s.n").alias("n_docs"), F.col("s.t").alias("total_len"), *[f"df_{k}" for k in range(len(tests))]
         )
