@@ -152,11 +152,7 @@ def batch_errors(spark, sf_dir):
             lambda: Search.over(*catalog.pick("*")).match("the").filter_values("no_such_attribute", 1).totals(),
         ]
     )
-    good = B.batch_matches(outcomes, ["total", "total_found"])
-    joined = B.batch_errors(spark, outcomes).join(good, "query_no", "left")
-    return joined.select(
-        "query_no",
-        F.coalesce("error", F.lit("")).alias("error"),
-        F.coalesce("total", F.lit(-1)).alias("total"),
-        F.coalesce("total_found", F.lit(-1)).alias("total_found"),
-    )
+    good = B.batch_matches(outcomes, ["total", "total_found"]).withColumn("error", F.lit(""))
+    none = F.lit(-1).cast("long")
+    bad = B.batch_errors(spark, outcomes).filter("error IS NOT NULL")
+    return good.unionByName(bad.withColumns({"total": none, "total_found": none}))
