@@ -128,3 +128,25 @@ def within_span(field_hits: Column, tests: Sequence[WordTest], span: int) -> Col
         return F.struct(*[c.alias(f"s{k}") for k, c in enumerate(last)], found.alias("found"))
 
     return F.aggregate(field_hits, start, step, lambda acc: acc["found"])
+
+
+def term_counts(tokens: Column) -> Column:
+    """``array<struct<token, hits>>`` of one row's tokens: sorted, then cut into runs."""
+
+    def cut(ws: Column) -> Column:
+        starts = F.filter(
+            F.transform(ws, lambda w, i: F.when((i == 0) | (w != F.get(ws, i - 1)), i)),
+            lambda i: i.isNotNull(),
+        )
+        return let(
+            starts,
+            lambda at: F.transform(
+                at,
+                lambda i, k: F.struct(
+                    F.get(ws, i).alias("token"),
+                    (F.coalesce(F.get(at, k + 1), F.size(ws)) - i).alias("hits"),
+                ),
+            ),
+        )
+
+    return let(F.sort_array(tokens), cut)

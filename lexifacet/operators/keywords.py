@@ -4,51 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import hits as H
 from ..functions import text as T
 from ..functions.frames import compute_once
 from ..sources.collection import Collection
 from .match import Word
 
 
-def term_counts(tokens: Column) -> Column:
-    """``array<struct<token, hits>>`` of one row's tokens: sorted, then cut into runs."""
-
-    def cut(ws: Column) -> Column:
-        starts = F.filter(
-            F.transform(ws, lambda w, i: F.when((i == 0) | (w != F.get(ws, i - 1)), i)),
-            lambda i: i.isNotNull(),
-        )
-        return T.let(
-            starts,
-            lambda at: F.transform(
-                at,
-                lambda i, k: F.struct(
-                    F.get(ws, i).alias("token"),
-                    (F.coalesce(F.get(at, k + 1), F.size(ws)) - i).alias("hits"),
-                ),
-            ),
-        )
-
-    return T.let(F.sort_array(tokens), cut)
-
-
-def term_table(collection: Collection) -> DataFrame:
-    """(token, docs, hits) of the whole vocabulary.
-
-    A document contributes one row per distinct token, so documents are counted
-    by a plain count that combines before the exchange.
-    """
-    return (
-        collection.df.select(F.inline(term_counts(collection.all_tokens())))
-        .groupBy("token")
-        .agg(F.count(F.lit(1)).alias("docs"), F.sum("hits").alias("hits"))
-    )
-
-
 def without_stopwords(postings: DataFrame, stopwords: DataFrame) -> DataFrame:
     """Postings minus a (token) table; the remaining positions keep their gaps."""
     return postings.join(stopwords.select("token"), "token", "left_anti").select(*postings.columns)
@@ -63,12 +27,7 @@ def with_wordforms(postings: DataFrame, wordforms: DataFrame, column: str = "tok
 
 def wildcard_terms(collection: Collection, pattern: str) -> DataFrame:
     """(token, docs, hits) of the tokens a ``*`` pattern stands for."""
-    test = Word(pattern).test(collection)
-    tokens = F.filter(collection.all_tokens(), test)
-    narrowed = collection.df.select(F.inline(term_counts(tokens)))
-    return narrowed.groupBy("token").agg(
-        F.count(F.lit(1)).alias("docs"), F.sum("hits").alias("hits")
-    )
+    return collection.terms(Word(pattern).test(collection))
 
 
 def keywords(queries: DataFrame, query_no: str, text: str, wordforms: DataFrame | None = None) -> DataFrame:
@@ -85,14 +44,7 @@ def word_stats(collection: Collection, words: Sequence[str]) -> DataFrame:
     One aggregate row holds all counters; absent words report 0 and 0.
     """
     words = list(dict.fromkeys(words))
-    tests = [Word(w).test(collection) for w in words]
-    own = F.filter(collection.all_tokens(), H.any_test(tests))
-    rows = compute_once(collection.df.select(*collection.fields), {"_own": own})
-    counters = []
-    for k, test in enumerate(tests):
-        n = F.size(F.filter("_own", test))
-        counters += [F.count_if(n > 0).alias(f"docs_{k}"), F.sum(n).alias(f"hits_{k}")]
-    one = rows.agg(*counters)
+    one = collection.word_totals([Word(w).test(collection) for w in words])
     return one.select(
         F.inline(
             F.array(
@@ -100,7 +52,7 @@ def word_stats(collection: Collection, words: Sequence[str]) -> DataFrame:
                     F.struct(
                         F.lit(w).alias("word"),
                         F.col(f"docs_{k}").alias("docs"),
-                        F.coalesce(F.col(f"hits_{k}"), F.lit(0)).cast("long").alias("hits"),
+                        F.col(f"hits_{k}").alias("hits"),
                     )
                     for k, w in enumerate(words)
                 ]
@@ -116,7 +68,7 @@ def keyword_stats(collection: Collection, wanted: DataFrame) -> DataFrame:
     where one token makes up a third of all text.
     """
     asked = wanted.select(F.col("word")).distinct()
-    table = term_table(collection).withColumnRenamed("token", "word")
+    table = collection.terms().withColumnRenamed("token", "word")
     joined = asked.join(table, "word", "left")
     return joined.select("word", F.coalesce("docs", F.lit(0)).alias("docs"), F.coalesce("hits", F.lit(0)).alias("hits"))
 

@@ -46,6 +46,11 @@ class Condition:
         """Every word-bearing part, negated or not."""
         return [self]
 
+    def without(self, stopwords: frozenset[str]) -> Condition | None:
+        """The condition with its stop words left out; None when nothing remains."""
+        kept = [w for _, w in self.words() if w.text.lower() not in stopwords]
+        return self if kept else None
+
 
 def _pick(fields: Sequence[FieldHits], names) -> list[FieldHits]:
     if names is None:
@@ -103,7 +108,8 @@ class Word(Condition):
         text = self.text.lower()
         forms = text.split("*") if "*" in text else collection.forms(text)
         if "*" in text:
-            return any_of([all_of([t.contains(p) for p in forms if p]) for t in texts])
+            literal = [p for p in forms if p]
+            return any_of([all_of([t.contains(p) for p in literal]) for t in texts]) if literal else None
         if self.exact:
             forms = [text]
         return any_of([t.contains(f) for f in forms for t in texts])
@@ -146,7 +152,7 @@ class Phrase(_Sequence):
         )
 
     def may_hold(self, collection, texts):
-        return all_of([w.may_hold(collection, texts) for w in self.distinct(collection)])
+        return And(*self.distinct(collection)).may_hold(collection, texts)
 
 
 @dataclass(frozen=True)
@@ -170,7 +176,7 @@ class Near(_Sequence):
         )
 
     def may_hold(self, collection, texts):
-        return all_of([w.may_hold(collection, texts) for w in self.distinct(collection)])
+        return And(*self.distinct(collection)).may_hold(collection, texts)
 
 
 @dataclass(frozen=True)
@@ -196,7 +202,7 @@ class Quorum(_Sequence):
         return reduce(lambda a, b: a + b, found) >= self.least
 
     def may_hold(self, collection, texts):
-        return any_of([w.may_hold(collection, texts) for w in self.distinct(collection)])
+        return Or(*self.distinct(collection)).may_hold(collection, texts)
 
 
 class _Combined(Condition):
@@ -211,6 +217,11 @@ class _Combined(Condition):
     def parts(self):
         return [part for c in self.conditions for part in c.parts()]
 
+    def without(self, stopwords):
+        kept = [c.without(stopwords) for c in self.conditions]
+        kept = [c for c in kept if c is not None]
+        return type(self)(*kept) if kept else None
+
 
 class And(_Combined):
     def holds(self, collection, fields):

@@ -295,7 +295,8 @@ class Search:
 
     def _tree(self, c: Collection) -> m.Condition | None:
         if self.tree is not None:
-            return self.tree
+            tree = self.tree.without(c.stopwords)
+            return tree if tree is not None and m.positive_only(tree) else None
         return None if self.mode == "fullscan" else m.from_text(self.text, self.mode, c.stopwords)
 
     def _overlaid(self, c: Collection) -> Collection:
@@ -334,10 +335,11 @@ class Search:
         c = self._overlaid(c)
         tree = self._tree(c)
         if tree is None:
-            plain = self._narrow(c, c.rows(), None).drop(*c.fields)
-            # Without a word in the query nothing matches, unless it is a full scan
-            # or has no text at all.
-            df = plain if self.mode == "fullscan" or not self.text.strip() else plain.filter(F.lit(False))
+            df = self._narrow(c, c.rows(), None).drop(*c.fields)
+            # Without a word to look for nothing matches, unless the query is a full
+            # scan or has no text at all.
+            if self.tree is not None or (self.mode != "fullscan" and self.text.strip()):
+                df = df.filter(F.lit(False))
         else:
             df = c.hit_rows(m.any_word_test(tree, c), lambda rows: self._narrow(c, rows, tree))
             df = df.filter(tree.holds(c, c.field_hits()))
@@ -348,11 +350,18 @@ class Search:
 
     def _found_in(self, c: Collection) -> DataFrame:
         df, tree = self.hit_rows(c)
-        if tree is None:
-            return df.select(c.id, F.lit(1).cast("long").alias("weight"), *c.attrs)
         ranker = MODE_RANKERS.get(self.mode) or self.ranker or "proximity_bm25"
-        df = self._ranking(c, tree).weighted(df, ranker, self.rank_expr)
-        return df.select(c.id, "weight", *c.attrs)
+        if tree is None:
+            df = df.withColumn("weight", F.lit(1).cast("long"))
+        else:
+            df = self._ranking(c, tree).weighted(df, ranker, self.rank_expr)
+        return df.select(F.col(c.id).alias(self.id), "weight", *self.common_attrs)
+
+    @property
+    def common_attrs(self) -> list[str]:
+        """Attributes that every collection of the search has."""
+        first, *rest = self.collections
+        return [a for a in first.attrs if all(a in c.attrs for c in rest)]
 
     def factors(self) -> DataFrame:
         """Ranking factors per (document, field) of the matches."""

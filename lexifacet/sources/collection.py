@@ -181,6 +181,30 @@ class Collection:
         return rows.agg(F.count(F.lit(1)).alias("n_docs"), total, *flags)
 
 
+    def terms(self, test: H.WordTest | None = None) -> DataFrame:
+        """(token, docs, hits) of the vocabulary, or of the tokens that pass ``test``.
+
+        A document contributes one row per distinct token, so documents are counted
+        by a plain count that combines before the exchange.
+        """
+        tokens = self.all_tokens()
+        counts = H.term_counts(tokens if test is None else F.filter(tokens, test))
+        rows = self.df.select(F.inline(counts))
+        return rows.groupBy("token").agg(F.count(F.lit(1)).alias("docs"), F.sum("hits").alias("hits"))
+
+    def word_totals(self, tests: Iterable[H.WordTest]) -> DataFrame:
+        """One row: ``docs_k`` and ``hits_k`` of each test over all documents."""
+        tests = list(tests)
+        own = F.filter(self.all_tokens(), H.any_test(tests))
+        rows = compute_once(self.df.select(*self.fields), {"_own": own})
+        columns = []
+        for k, test in enumerate(tests):
+            n = F.size(F.filter("_own", test))
+            columns.append(F.count_if(n > 0).alias(f"docs_{k}"))
+            columns.append(F.coalesce(F.sum(n), F.lit(0)).cast("long").alias(f"hits_{k}"))
+        return rows.agg(*columns)
+
+
 def postings(collection: Collection) -> DataFrame:
     """(id, field, pos, token): one row per token, positions 0-based per field."""
     def rows_of(name: str) -> Column:

@@ -23,7 +23,6 @@ from pyspark.sql import functions as F
 from ..functions import hits as H
 from ..functions import text as T
 from ..functions.frames import compute_once
-from ..operators.keywords import term_table
 from .collection import Collection
 
 
@@ -87,7 +86,7 @@ def _write_buckets(rows: DataFrame, path: str, buckets: int) -> None:
 def write_postings(collection: Collection, path: str, buckets: int = 64) -> None:
     """Write the three tables under ``path``, which must not exist."""
     _write_buckets(field_postings(collection), f"{path}/postings", buckets)
-    _write_buckets(term_table(collection), f"{path}/terms", buckets)
+    _write_buckets(collection.terms(), f"{path}/terms", buckets)
     lengths = {f"_len_{i}": F.size(T.tokenize(f)) for i, f in enumerate(collection.fields)}
     docs = collection.rows().withColumns(lengths).drop(*collection.fields)
     docs.write.mode("errorifexists").parquet(f"{path}/docs")
@@ -151,28 +150,41 @@ class IndexedCollection(Collection):
         docs = self.rows() if narrow is None else narrow(self.rows())
         return docs.join(found, self.id)
 
+    def terms(self, test: H.WordTest | None = None) -> DataFrame:
+        if test is None:
+            return self.spark.read.parquet(f"{self.path}/terms").drop("bucket")
+        return self.of_words("terms", test)
+
+    def word_totals(self, tests) -> DataFrame:
+        """As for raw text, from the word tables. Several tokens of one test may meet
+        in a document, so those documents are counted by id."""
+        columns = []
+        for k, test in enumerate(tests):
+            docs, hits = f"docs_{k}", f"hits_{k}"
+            if test.forms is not None and len(test.forms) == 1:
+                of = self.of_words("terms", test)
+                counted = F.sum("docs"), F.sum("hits")
+            else:
+                of = self.of_words("postings", test)
+                of = of.groupBy(self.id).agg(F.sum(F.size("positions")).alias("n"))
+                counted = F.count(F.lit(1)), F.sum("n")
+            zero = F.lit(0).cast("long")
+            one = of.agg(
+                F.struct(*[F.coalesce(c, zero).alias(n) for c, n in zip(counted, (docs, hits))]).alias("s")
+            )
+            columns.append(one.scalar().alias(f"_{k}"))
+        row = self.spark.range(0, 1, 1, 1).select(*columns)
+        return row.select(*[f"_{k}.*" for k in range(len(columns))])
+
     def stats(self, tests=()) -> DataFrame:
         """One row from the small tables; no text is read."""
         total = sum(F.col(f"_len_{i}") for i in range(len(self.fields)))
-        size = self.df.agg(
-            F.struct(
-                F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(total), F.lit(0)).alias("t")
-            ).alias("s")
-        )
-        docs = []
+        length = F.coalesce(F.sum(total), F.lit(0)).alias("total_len")
+        size = self.df.agg(F.struct(F.count(F.lit(1)).alias("n_docs"), length).alias("s"))
         tests = list(tests)
-        for k, test in enumerate(tests):
-            if test.forms is not None and len(test.forms) == 1:
-                one = self.of_words("terms", test).agg(F.coalesce(F.sum("docs"), F.lit(0)).alias("d"))
-            else:
-                # Documents of several tokens overlap, so they are counted by id.
-                ids = self.of_words("postings", test).select(self.id).distinct()
-                one = ids.agg(F.count(F.lit(1)).alias("d"))
-            docs.append(one.scalar().alias(f"df_{k}"))
-        one = self.spark.range(0, 1, 1, 1).select(size.scalar().alias("s"), *docs)
-        return one.select(
-            F.col("s.n").alias("n_docs"), F.col("s.t").alias("total_len"), *[f"df_{k}" for k in range(len(tests))]
-        )
+        sized = self.word_totals(tests).withColumn("_size", size.scalar())
+        docs = [F.col(f"docs_{k}").alias(f"df_{k}") for k in range(len(tests))]
+        return sized.select("_size.*", *docs)
 
 
 def open_postings(collection: Collection, path: str, buckets: int = 64) -> IndexedCollection:

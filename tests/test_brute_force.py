@@ -8,6 +8,7 @@ import pytest
 
 from lexifacet import And, Collection, Near, Not, Or, Phrase, Quorum, Search, Word
 from lexifacet.operators.batch import search_table
+from lexifacet.operators.keywords import wildcard_terms
 from lexifacet.operators.rank import RANKERS
 from lexifacet.sources.postings import open_postings, write_postings
 from lexifacet.sources.storage import new_folder
@@ -231,3 +232,25 @@ def test_wordforms_and_stopwords(c):
         if any(f[p] in ("a", "ab", "a_b") and f[p + 2 : p + 3] == ["c"] for f in fields for p in range(len(f)))
     ]
     assert sorted(x.id for x in phrase.collect()) == want
+
+
+def test_stopwords_in_conditions(c):
+    d = Collection("docs", c.df, "id", c.fields, c.attrs, stopwords={"d"})
+    got = sorted(x.id for x in Search.over(d).where(And("d", "a")).found().collect())
+    assert got == [i for i, (t, b) in TOKENS.items() if "a" in t + b]
+    assert Search.over(d).where(Or("d", Phrase("d d"))).found().collect() == []
+    assert Search.over(d).where(And("d", Not("a"))).found().collect() == []
+    assert Search.over(d).match("d").found().collect() == []
+
+
+def test_word_statistics(c, indexed):
+    words = ["a", "a*", "zzz", "b"]
+    want = []
+    for w in words:
+        own = [[t for t in title + body if is_word(Word(w), t)] for title, body in TOKENS.values()]
+        want.append((w, sum(bool(x) for x in own), sum(map(len, own))))
+    for collection in (c, indexed):
+        s = Search.over(collection).where(Or(*words))
+        assert s.words().collect() == want
+        assert {x.token for x in wildcard_terms(collection, "a*").collect()} == {"a", "ab", "a_b"}
+        assert collection.terms().count() == len(VOCABULARY)

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from lexifacet import And, Collection, Or, Phrase, Search, Word
 from lexifacet.operators.excerpts import ExcerptOptions, build_excerpts, build_passages, excerpt
-from lexifacet.operators.keywords import corpus_stats, term_table, word_stats
+from lexifacet.operators.keywords import corpus_stats, word_stats
 from lexifacet.operators.updates import string_ordinal
 
 ROWS = [
@@ -127,7 +127,7 @@ def test_attribute_pair_of_the_last_attribute(c):
 
 
 def test_token_counts(c):
-    rows = {x.token: (x.docs, x.hits) for x in term_table(c).collect()}
+    rows = {x.token: (x.docs, x.hits) for x in c.terms().collect()}
     assert rows["one"] == (2, 3) and rows["wifi"] == (1, 2) and rows["wi"] == (1, 1)
 
 
