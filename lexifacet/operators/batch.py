@@ -13,6 +13,7 @@ from ..functions import hits as H
 from ..functions import text as T
 from ..functions.calendar import CALENDAR_UNITS, calendar_key
 from ..sources.collection import Collection
+from ..sources.literal import small_table
 from ..sources.storage import ensure_checkpoint_dir
 from .filters import is_multi
 
@@ -68,9 +69,9 @@ def search_table(
     tokens = F.array_distinct(collection.all_tokens())
     terms = collection.df.select(collection.id, F.explode(tokens).alias("token"))
     if mode == "all":
-        # Documents per asked word; a word no document has leaves its query out.
-        common = terms.join(wanted.select("token").distinct(), "token", "left_semi")
-        counted = wanted.join(common.groupBy("token").agg(F.count(F.lit(1)).alias("docs")), "token", "left")
+        # The vocabulary is aggregated before it meets the words. A word no document
+        # has is the rarest and leaves its query without candidates.
+        counted = wanted.join(collection.terms().select("token", "docs"), "token", "left")
         rarest = F.min_by("token", F.struct(F.coalesce("docs", F.lit(0)), "token"))
         wanted = counted.groupBy("query_no").agg(rarest.alias("token"))
     pairs = terms.join(wanted, "token").select("query_no", collection.id)
@@ -123,7 +124,7 @@ def run_batch(makers: Sequence[Callable[[], DataFrame]]) -> list[DataFrame | Exc
 def batch_errors(spark: SparkSession, outcomes: Sequence[DataFrame | Exception]) -> DataFrame:
     """(query_no, error): one row per query, NULL where it is fine."""
     rows = [(n, str(x) if isinstance(x, Exception) else None) for n, x in enumerate(outcomes)]
-    return spark.createDataFrame(rows, "query_no int, error string")
+    return small_table(spark, [("query_no", "int"), ("error", "string")], rows)
 
 
 def batch_matches(outcomes: Sequence[DataFrame | Exception], columns: Sequence[str]) -> DataFrame | None:

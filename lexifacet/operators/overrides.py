@@ -9,6 +9,8 @@ from numbers import Integral, Real
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.literal import small_table
+
 # Attribute type name -> Spark type of its values.
 SCALAR_TYPES = {
     "integer": "bigint",
@@ -46,7 +48,7 @@ def override_frame(spark: SparkSession, id: str, attr: str, kind: str, values: M
     check_values(kind, values)
     if kind == "timestamp":
         rows = [(int(i), v.timestamp() if isinstance(v, datetime) else float(v)) for i, v in values.items()]
-        df = spark.createDataFrame(rows, f"`{id}` bigint, `{attr}` double")
+        df = small_table(spark, [(id, "bigint"), (attr, "double")], rows)
         return df.withColumn(attr, F.timestamp_seconds(attr))
     rows = [(int(i), bool(v) if kind == "bool" else float(v) if kind == "float" else v) for i, v in values.items()]
-    return spark.createDataFrame(rows, f"`{id}` bigint, `{attr}` {SCALAR_TYPES[kind]}")
+    return small_table(spark, [(id, "bigint"), (attr, SCALAR_TYPES[kind])], rows)

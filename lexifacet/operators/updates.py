@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..sources.collection import Collection
+from ..sources.literal import small_table
 from ..sources.storage import ensure_checkpoint_dir
 
 
@@ -38,9 +39,9 @@ def update_frame(
             if any(isinstance(v, bool) or not isinstance(v, Integral) for v in members):
                 raise TypeError("values must be integers")
     kind = "array<bigint>" if mva else "bigint"
-    schema = ", ".join([f"`{id}` bigint"] + [f"`{a}` {kind}" for a in attrs])
+    columns = [(id, "bigint"), *[(a, kind) for a in attrs]]
     rows = [(int(k), *[list(v) if mva else int(v) for v in entry]) for k, entry in values.items()]
-    return spark.createDataFrame(rows, schema)
+    return small_table(spark, columns, rows)
 
 
 def _one_per_id(updates: DataFrame, id: str, attrs: Sequence[str]) -> DataFrame:

@@ -8,6 +8,7 @@ from ..functions import text as T
 from ..operators import keywords as K
 from ..search import Search
 from ..sources.collection import postings
+from ..sources.literal import small_table
 from . import sql as S
 from .matching import FORMS
 from .registry import query
@@ -48,7 +49,7 @@ SELECT doc_id, CASE field WHEN 0 THEN 'title' ELSE 'body' END AS field, count(*)
 FROM post WHERE tok NOT IN ({S.quoted(STOPWORDS)}) GROUP BY doc_id, field""",
 )
 def tokenize_stopwords(spark, sf_dir):
-    stop = spark.createDataFrame([(w,) for w in STOPWORDS], "token string")
+    stop = small_table(spark, [("token", "string")], [(w,) for w in STOPWORDS])
     kept = K.without_stopwords(postings(documents(spark, sf_dir)), stop)
     return kept.groupBy("doc_id", "field").agg(
         F.count(F.lit(1)).alias("kept"),
@@ -66,7 +67,7 @@ SELECT coalesce(f.normal, p.tok) AS normalized, count(*) AS hits
 FROM post p LEFT JOIN forms f ON f.token = p.tok GROUP BY 1""",
 )
 def tokenize_wordforms(spark, sf_dir):
-    forms = spark.createDataFrame(list(FORMS.items()), "token string, normal string")
+    forms = small_table(spark, [("token", "string"), ("normal", "string")], FORMS.items())
     rows = K.with_wordforms(postings(documents(spark, sf_dir)), forms)
     return rows.groupBy("normalized").agg(F.count(F.lit(1)).alias("hits"))
 
@@ -90,7 +91,7 @@ SELECT item_id, qpos::INTEGER AS qpos, tok AS tokenized, coalesce(f.normal, tok)
 FROM w LEFT JOIN forms f ON f.token = w.tok""",
 )
 def keywords(spark, sf_dir):
-    forms = spark.createDataFrame(list(FORMS.items()), "token string, normal string")
+    forms = small_table(spark, [("token", "string"), ("normal", "string")], FORMS.items())
     return K.keywords(table(spark, sf_dir, "benchmark"), "item_id", "text", forms)
 
 

@@ -88,3 +88,14 @@ def test_a_written_word_table_reads_only_its_buckets(spark):
 def test_bm25_statistics_are_one_row(spark):
     text = plan(Search.over(documents(spark, SF_DIR)).where(Or("the", "of")).rank("bm25").found())
     assert "Subquery" in text and "Join" not in text
+
+
+@pytest.mark.parametrize("name", ["tokenize_stopwords", "tokenize_wordforms"])
+def test_small_word_tables_are_broadcast_by_their_known_size(spark, name):
+    text = plan(entry.queries()[name](spark, SF_DIR))
+    assert "BroadcastHashJoin" in text and "SortMergeJoin" not in text
+
+
+def test_literal_overrides_are_broadcast_by_their_known_size(spark):
+    s = Search.over(orders(spark, SF_DIR)).everything().override("o_custkey", "integer", {1: 5, 2: 6})
+    assert "BroadcastHashJoin" in plan(s.found())
