@@ -66,21 +66,17 @@ def search_table(
     asked = queries.select(F.col(query_no).alias("query_no"), T.tokenize(text).alias("_words"))
     asked = asked.filter(F.size("_words") > 0)
     wanted = asked.select("query_no", F.explode(F.array_distinct("_words")).alias("token"))
-    tokens = F.array_distinct(collection.all_tokens())
-    terms = collection.df.select(collection.id, F.explode(tokens).alias("token"))
     if mode == "all":
-        # The vocabulary is aggregated before it meets the words. A word no document
-        # has is the rarest and leaves its query without candidates.
-        counted = wanted.join(collection.terms().select("token", "docs"), "token", "left")
+        # A word no document has is the rarest and leaves its query without candidates.
+        docs = collection.word_docs(wanted.select("token").distinct())
+        counted = wanted.join(docs, "token", "left")
         rarest = F.min_by("token", F.struct(F.coalesce("docs", F.lit(0)), "token"))
         wanted = counted.groupBy("query_no").agg(rarest.alias("token"))
-    pairs = terms.join(wanted, "token").select("query_no", collection.id)
-    pairs = pairs if mode == "all" else pairs.distinct()
-    fields = {f"_tok_{i}": T.tokenize(f) for i, f in enumerate(collection.fields)}
-    docs = collection.df.select(collection.id, *[c.alias(n) for n, c in fields.items()])
-    rows = docs.join(pairs.join(asked, "query_no"), collection.id)
+    pairs = collection.document_words().join(wanted, "token").select("query_no", collection.id).distinct()
+    rows = collection.with_tokens(pairs.join(asked, "query_no"))
+    fields = [f"_tok_{i}" for i in range(len(collection.fields))]
     if mode == "all":
-        every = F.concat(*fields) if len(fields) > 1 else F.col("_tok_0")
+        every = F.concat(*fields) if len(fields) > 1 else F.col(fields[0])
         rows = rows.filter(F.size(F.array_except("_words", every)) == 0)
     weight = sum((_proximity(F.col(name), F.col("_words")) for name in fields), F.lit(0).cast("long"))
     weighted = rows.select("query_no", collection.id, weight.alias("weight"))

@@ -111,9 +111,10 @@ ORDER BY f.weight DESC, f.doc_id LIMIT 50""",
 )
 def hydrate(spark, sf_dir):
     page = Search.over(documents(spark, sf_dir)).match("the of").limits(0, 50).matches()
-    source = table(spark, sf_dir, "documents").select("doc_id", F.md5("text").alias("digest"))
+    source = table(spark, sf_dir, "documents").select("doc_id", "text")
     order = [F.col("weight").desc(), F.col("doc_id").asc()]
-    return hydrate_page(page.select("doc_id", "weight"), source, "doc_id", order)
+    rows = hydrate_page(page.select("doc_id", "weight"), source, "doc_id", order)
+    return rows.select("doc_id", "weight", F.md5("text").alias("digest"))
 
 
 @query(

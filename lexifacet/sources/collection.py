@@ -192,6 +192,29 @@ class Collection:
         rows = self.df.select(F.inline(counts))
         return rows.groupBy("token").agg(F.count(F.lit(1)).alias("docs"), F.sum("hits").alias("hits"))
 
+    def document_words(self) -> DataFrame:
+        """(id, token): the words of each document; a word of two fields may be listed twice."""
+        return self.df.select(self.id, F.explode(F.array_distinct(self.all_tokens())).alias("token"))
+
+    def word_docs(self, words: DataFrame) -> DataFrame:
+        """(token, docs) for a table of distinct tokens; absent ones are left out.
+
+        Where the words are few they are broadcast and only counts are exchanged.
+        """
+        known = self.document_words().join(words, "token", "left_semi")
+        return known.groupBy("token").agg(F.count(F.lit(1)).alias("docs"))
+
+    def with_tokens(self, wanted: DataFrame) -> DataFrame:
+        """Rows of ``wanted`` joined on the id with the tokens per field, ``_tok_i``.
+
+        The semi join leaves only wanted documents to tokenize, and keeps Spark from
+        taking the texts for the small side, whose compressed size hides what they are.
+        """
+        ids = wanted.select(self.id).distinct()
+        texts = self.df.select(self.id, *self.fields).join(ids, self.id, "left_semi")
+        tokens = [T.tokenize(f).alias(f"_tok_{i}") for i, f in enumerate(self.fields)]
+        return texts.select(self.id, *tokens).join(wanted, self.id)
+
     def word_totals(self, tests: Iterable[H.WordTest]) -> DataFrame:
         """One row: ``docs_k`` and ``hits_k`` of each test over all documents."""
         tests = list(tests)

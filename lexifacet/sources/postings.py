@@ -155,6 +155,33 @@ class IndexedCollection(Collection):
             return self.spark.read.parquet(f"{self.path}/terms").drop("bucket")
         return self.of_words("terms", test)
 
+    def document_words(self) -> DataFrame:
+        return self.spark.read.parquet(f"{self.path}/postings").select(self.id, "token")
+
+    def word_docs(self, words: DataFrame) -> DataFrame:
+        return self.terms().join(words, "token", "left_semi").select("token", "docs")
+
+    def with_tokens(self, wanted: DataFrame) -> DataFrame:
+        """The tokens of the wanted documents only, put together from their postings."""
+        rows = self.spark.read.parquet(f"{self.path}/postings").drop("bucket")
+        rows = rows.join(wanted.select(self.id).distinct(), self.id, "left_semi")
+        lists = [
+            F.collect_list(F.when(F.col("field") == i, F.struct("positions", "token"))).alias(f"_rows_{i}")
+            for i in range(len(self.fields))
+        ]
+
+        def ordered(lists: Column) -> Column:
+            placed = F.transform(
+                lists,
+                lambda r: F.transform(
+                    r["positions"], lambda p: F.struct(p.alias("p"), r["token"].alias("w"))
+                ),
+            )
+            return F.transform(F.sort_array(F.flatten(placed)), lambda x: x["w"])
+
+        tokens = [ordered(F.col(f"_rows_{i}")).alias(f"_tok_{i}") for i in range(len(self.fields))]
+        return rows.groupBy(self.id).agg(*lists).select(self.id, *tokens).join(wanted, self.id)
+
     def word_totals(self, tests) -> DataFrame:
         """As for raw text, from the word tables. Several tokens of one test may meet
         in a document, so those documents are counted by id."""

@@ -198,10 +198,12 @@ def test_plain_idf(c):
 
 
 @pytest.mark.parametrize("mode", ["all", "any"])
-def test_query_table(spark, c, mode):
+@pytest.mark.parametrize("source", ["c", "indexed"])
+def test_query_table(request, spark, source, mode):
+    collection = request.getfixturevalue(source)
     texts = ["a b", "c d a", "zzz a", "ü", "", "a a", "zzz"]
     queries = spark.createDataFrame(list(enumerate(texts)), "query_no int, text string")
-    got = search_table(c, queries, mode=mode, best=5).collect()
+    got = search_table(collection, queries, mode=mode, best=5).collect()
     want = set()
     for n, text in enumerate(texts):
         query = text.split()
