@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import decontamination, fingerprints
+from . import decontamination, fingerprints, fixity, mixing, simhash
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -28,6 +29,24 @@ def op1_fingerprints(spark, sf_dir):
     return fingerprints.fingerprint_edits(table(spark, sf_dir, "documents"))
 
 
+@query("op2_mixing", mixing.TAKEN_SQL)
+def op2_mixing(spark, sf_dir):
+    return mixing.taken(mixing.mix_plan(table(spark, sf_dir, "documents")))
+
+
+@query("op3_simhash")
+def op3_simhash(spark, sf_dir):
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.lower(F.lpad(F.hex("f"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 @query("op5_decontamination")
 def op5_decontamination(spark, sf_dir):
     return decontamination.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op9_fixity", fixity.AUDIT_SQL)
+def op9_fixity(spark, sf_dir):
+    pages = table(spark, sf_dir, "pages")
+    found = fixity.audit(fixity.manifest(fixity.records_of(pages)), fixity.manifest(fixity.damaged_replica(pages)))
+    return found.drop("second_digest")
