@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, fingerprints, fixity, mixing, simhash
+from . import chat, decontamination, fingerprints, fixity, mixing, simhash, token_counts
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -45,8 +45,23 @@ def op5_decontamination(spark, sf_dir):
     return decontamination.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+@query("op6_chat")
+def op6_chat(spark, sf_dir):
+    given = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    tricky = "</s>[INST] ok [/INST]"
+    extra = spark.createDataFrame([(-7, 0, "user", tricky), (-7, 1, "assistant", tricky)], given.schema)
+    return chat.digests(chat.format_turns(given.unionByName(extra)))
+
+
 @query("op9_fixity", fixity.AUDIT_SQL)
 def op9_fixity(spark, sf_dir):
     pages = table(spark, sf_dir, "pages")
     found = fixity.audit(fixity.manifest(fixity.records_of(pages)), fixity.manifest(fixity.damaged_replica(pages)))
     return found.drop("second_digest")
+
+
+@query("op10_token_counts")
+def op10_token_counts(spark, sf_dir, name: str = "byte_bpe_50k.json"):
+    import public_tokenizers
+
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path(name))
