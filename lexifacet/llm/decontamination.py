@@ -115,7 +115,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, misses: i
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents in which no benchmark passage was found, all columns kept."""
-    bad = settled(leaks(docs, benchmark).select(F.col("doc_id").alias("leaked")).distinct())
+    bad = settled(leaks(docs, benchmark).select(F.col("doc_id").alias("_llm_leaked")).distinct())
     if bad.count() <= SENT_KEYS:
         bad = F.broadcast(bad)
-    return docs.join(bad, docs["doc_id"].eqNullSafe(F.col("leaked")), "left_anti")
+    return docs.join(bad, docs["doc_id"].eqNullSafe(F.col("_llm_leaked")), "left_anti")

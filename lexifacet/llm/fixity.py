@@ -1,13 +1,13 @@
 """Merkle audit of two replicas of an archive of web records.
 
-Records stand in the order of ``page_id``. A range of sixteen consecutive ids is a leaf
+Records stand in the order of ``page_id``. A range of ``WIDTH`` consecutive ids is a leaf
 range: its digest covers, in order, each record's id, its offset within the range, its
-length and its SHA-256. Sixteen ranges make a node, sixteen nodes the next, up to ranges of
-``16 ** LEVELS`` ids, whose nodes are the roots. Ranges are given by ids, not by counts, so
+length and its SHA-256. ``WIDTH`` ranges make a node, as many nodes the next, up to ranges of
+``WIDTH ** LEVELS`` ids, whose nodes are the roots. Ranges are given by ids, not by counts, so
 a lost or added record moves nothing beyond its own range. Roots are compared first; then
 only children of differing nodes, level by level, down to the records.
 
-All by column functions; a node has at most sixteen children and no task sees more of the archive
+All by column functions; a node has at most ``WIDTH`` children and no task sees more of the archive
 than its ranges. What the audit compares is digests; records are hashed once per replica.
 
 Nulls: null url and html count as empty; a record with a null id belongs to a range of
@@ -24,8 +24,8 @@ from pyspark.sql import functions as F
 
 from .common import settled
 
-LEVELS = 6
-WIDTH = 16
+LEVELS = 3
+WIDTH = 64
 #: Ids per archive file; offsets of records count from the start of their file.
 FILE_IDS = 4096
 
@@ -74,7 +74,7 @@ def tree(listed: DataFrame) -> list[DataFrame]:
     while len(levels) < LEVELS:
         child = levels[-1].withColumn("parent", F.floor(F.col("node") / WIDTH))
         up = child.groupBy("parent").agg(_digest_of(F.col("node").alias("col1"), F.col("digest").alias("col2")).alias("digest"))
-        levels.append(up.withColumnRenamed("parent", "node"))
+        levels.append(settled(up.withColumnRenamed("parent", "node")))
     return levels
 
 
@@ -93,8 +93,8 @@ def audit(first: DataFrame, second: DataFrame) -> DataFrame:
         b = b.withColumnsRenamed({"node": "b_node", "digest": "b_digest"})
         both = a.join(b, a["node"].eqNullSafe(b["b_node"]), "full_outer")
         odd = both.where(~F.col("digest").eqNullSafe(F.col("b_digest")))
-        suspects = odd.select(F.coalesce("node", "b_node").alias("node")).distinct()
-    bad = settled(suspects)
+        suspects = settled(odd.select(F.coalesce("node", "b_node").alias("node")).distinct())
+    bad = suspects
     a, b = [
         x.join(bad, F.floor(x["page_id"] / WIDTH).eqNullSafe(bad["node"]), "left_semi").select([F.col(c).alias(p + c) for c in x.columns])
         for x, p in ((first, ""), (second, "second_"))

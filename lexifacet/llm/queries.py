@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontamination, fingerprints, fixity, mixing, simhash, token_counts
+from . import chat, decontamination, fingerprints, fixity, hmm, mixing, simhash, token_counts, toxicity
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -40,6 +40,11 @@ def op3_simhash(spark, sf_dir):
     return found.select("doc_id", F.lower(F.lpad(F.hex("f"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+@query("op4_hmm")
+def op4_hmm(spark, sf_dir):
+    return hmm.score_documents(table(spark, sf_dir, "documents"))
+
+
 @query("op5_decontamination")
 def op5_decontamination(spark, sf_dir):
     return decontamination.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -53,6 +58,11 @@ def op6_chat(spark, sf_dir):
     return chat.digests(chat.format_turns(given.unionByName(extra)))
 
 
+@query("op7_toxicity")
+def op7_toxicity(spark, sf_dir):
+    return toxicity.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @query("op9_fixity", fixity.AUDIT_SQL)
 def op9_fixity(spark, sf_dir):
     pages = table(spark, sf_dir, "pages")
