@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontamination, fingerprints, fixity, hmm, mixing, simhash, token_counts, toxicity
+from . import chat, decontamination, extraction, fingerprints, fixity, hmm, mixing, simhash, token_counts, toxicity
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -63,6 +63,12 @@ def op7_toxicity(spark, sf_dir):
     return toxicity.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+@query("op8_extraction")
+def op8_extraction(spark, sf_dir):
+    pages = table(spark, sf_dir, "pages")
+    return extraction.extract(pages, extraction.train(pages))
+
+
 @query("op9_fixity", fixity.AUDIT_SQL)
 def op9_fixity(spark, sf_dir):
     pages = table(spark, sf_dir, "pages")
