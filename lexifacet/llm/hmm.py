@@ -1,6 +1,6 @@
 """A hidden Markov language model, trained by Baum-Welch over the whole training corpus.
 
-Tokens are lower-cased words and one end per text. The ``HEAD`` most frequent tokens are
+Tokens are lower-cased words and one end per text. The most frequent tokens, at most ``HEAD``, are
 symbols of their own; every other word belongs to one of ``CLASSES`` classes by the hash
 of its last bytes, and its probability within the class comes from its exact count, one
 unseen word per class included. The table of states and symbols thus has a fixed size,
@@ -262,15 +262,22 @@ def score_documents(docs: DataFrame, states: int = STATES, rounds: int = ROUNDS)
     counts = settled(word_counts(texts.where("training")))
     facts = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
     below = facts.n + 0.5 * (facts.v + 1)
-    top = counts.where(F.col("word") != END).orderBy(F.desc("n"), "word").limit(HEAD).collect()
     ends = counts.where(F.col("word") == END).collect()
+    # Words by steps of frequency, at most a thousand steps; the head is whole steps.
+    step = F.floor(16 * F.log2("n"))
+    steps = counts.where(F.col("word") != END).groupBy(step.alias("step")).count().collect()
+    held, lowest = 0, 1 << 30
+    for r in sorted(steps, key=lambda r: -r.step):
+        held += r["count"]
+        if held > HEAD:
+            break
+        lowest = r.step
+    top = counts.where((F.col("word") != END) & (step >= lowest)).collect()
+    top.sort(key=lambda r: (-r.n, bytes(r.word)))
     head = [END, *(bytes(r.word) for r in top)]
     head_counts = np.array([ends[0].n if ends else 0, *(r.n for r in top)], dtype=float)
     index = context.broadcast({w: i for i, w in enumerate(head)})
-
-    rarest = top[-1].n if top else 0
-    edge = bytes(top[-1].word) if top else b""
-    rare = counts.where((F.col("word") != END) & ((F.col("n") < rarest) | ((F.col("n") == rarest) & (F.col("word") > F.lit(edge)))))
+    rare = counts.where((F.col("word") != END) & (step < lowest))
     suffix = F.when(F.length("word") <= SUFFIX, F.col("word")).otherwise(F.substring("word", -SUFFIX, SUFFIX))
     by_class = rare.groupBy((F.crc32(suffix) % CLASSES).alias("c")).agg(F.sum("n").alias("n"), F.count("*").alias("v")).collect()
     class_counts, class_below = np.zeros(CLASSES), np.full(CLASSES, 0.5)
