@@ -51,10 +51,10 @@ def search_table(
     query_no: str = "query_no",
     text: str = "text",
     mode: str = "all",
-    best: int = 1000,
+    best: int | None = None,
 ) -> DataFrame:
-    """Run a table of query texts: (query_no, id, weight), the ``best`` per query by
-    phrase proximity summed over the fields.
+    """Run a table of query texts: (query_no, id, weight) of every match, or of the ``best``
+    per query, weighted by phrase proximity summed over the fields.
 
     ``all`` finds the candidates of a query by its rarest word alone, so a word in a
     third of all documents is joined only for queries that have nothing rarer. Each
@@ -80,6 +80,8 @@ def search_table(
         rows = rows.filter(F.size(F.array_except("_words", every)) == 0)
     weight = sum((_proximity(F.col(name), F.col("_words")) for name in fields), F.lit(0).cast("long"))
     weighted = rows.select("query_no", collection.id, weight.alias("weight"))
+    if best is None:
+        return weighted
     w = W.partitionBy("query_no").orderBy(F.col("weight").desc(), F.col(collection.id).asc())
     return weighted.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= best).drop("_rn")
 

@@ -37,11 +37,25 @@ def _signed(condition: Column, exclude: bool) -> Column:
     return ~F.coalesce(condition, F.lit(False)) if exclude else condition
 
 
+def _typed(value: int, kind: T.DataType | None) -> Column:
+    """An integer as a literal of the attribute's type, so that the filter reaches the
+    scan: seconds of the epoch for a timestamp, 0 and 1 for a boolean."""
+    if isinstance(kind, T.TimestampType):
+        return F.timestamp_seconds(F.lit(value))
+    if isinstance(kind, T.BooleanType):
+        return F.lit(bool(value)) if value in (0, 1) else F.lit(None).cast("boolean")
+    return F.lit(value)
+
+
+def kind_of(schema: T.StructType, attr: str) -> T.DataType:
+    return schema[attr].dataType
+
+
 def is_multi(schema: T.StructType, attr: str) -> bool:
     return isinstance(schema[attr].dataType, T.ArrayType)
 
 
-def values(attr: str, given: int | Sequence[int], multi: bool, exclude: bool = False) -> Column | None:
+def values(attr: str, given: int | Sequence[int], multi: bool, exclude: bool = False, kind: T.DataType | None = None) -> Column | None:
     """Attribute in a set of integers; an empty set filters nothing."""
     if isinstance(given, Integral) and not isinstance(given, bool):
         given = [given]
@@ -54,16 +68,24 @@ def values(attr: str, given: int | Sequence[int], multi: bool, exclude: bool = F
     if multi:
         test = F.arrays_overlap(col.cast("array<bigint>"), F.array(*[F.lit(v).cast("long") for v in wanted]))
     else:
-        test = col.isin(wanted)
+        test = col.isin([_typed(v, kind) for v in wanted] if isinstance(kind, (T.TimestampType, T.BooleanType)) else wanted)
     return _signed(test, exclude)
 
 
-def int_range(attr: str, low: int, high: int, multi: bool, exclude: bool = False) -> Column:
+def int_range(
+    attr: str, low: int, high: int, multi: bool, exclude: bool = False, kind: T.DataType | None = None
+) -> Column:
     """low <= attribute <= high for signed 64-bit integers."""
     low, high = _integer(low, "min"), _integer(high, "max")
     _bounds(low, high)
     col = F.col(attr)
-    test = F.exists(col, lambda v: v.between(low, high)) if multi else col.between(low, high)
+    if multi:
+        test = F.exists(col, lambda v: v.between(low, high))
+    elif isinstance(kind, T.TimestampType):
+        test = col.between(_typed(low, kind), _typed(high, kind))
+    else:
+        col = col.cast("int") if isinstance(kind, T.BooleanType) else col
+        test = col.between(low, high)
     return _signed(test, exclude)
 
 

@@ -38,13 +38,16 @@ def keywords(queries: DataFrame, query_no: str, text: str, wordforms: DataFrame
     return with_wordforms(rows, wordforms, "tokenized")
 
 
-def word_stats(collection: Collection, words: Sequence[str]) -> DataFrame:
+def word_stats(collection: Collection, words: Sequence[str | Word]) -> DataFrame:
     """(word, docs, hits) of a few given words over the whole collection.
 
     One aggregate row holds all counters; absent words report 0 and 0.
     """
-    words = list(dict.fromkeys(words))
-    one = collection.word_totals([Word(w).test(collection) for w in words])
+    by_text = {}
+    for w in (Word(w) if isinstance(w, str) else w for w in words):
+        by_text.setdefault(w.text, w)
+    words = list(by_text)
+    one = collection.word_totals([w.test(collection) for w in by_text.values()])
     return one.select(
         F.inline(
             F.array(
@@ -75,8 +78,12 @@ def keyword_stats(collection: Collection, wanted: DataFrame) -> DataFrame:
 
 def corpus_stats(collection: Collection) -> DataFrame:
     """One row: documents, tokens, and per field its tokens and mean length."""
-    lengths = {f"_len_{i}": F.size(T.tokenize(f)) for i, f in enumerate(collection.fields)}
-    rows = compute_once(collection.df.select(*collection.fields), lengths)
+    lengths = [f"_len_{i}" for i in range(len(collection.fields))]
+    if all(c in collection.df.columns for c in lengths):  # a written word table
+        rows = collection.df.select(*lengths)
+    else:
+        counted = {c: F.size(T.tokenize(f)) for c, f in zip(lengths, collection.fields)}
+        rows = compute_once(collection.df.select(*collection.fields), counted)
     columns = [F.count(F.lit(1)).alias("n_docs"), F.sum(sum(F.col(c) for c in lengths)).alias("n_tokens")]
     for i, f in enumerate(collection.fields):
         columns.append(F.sum(f"_len_{i}").alias(f"{f}_tokens"))

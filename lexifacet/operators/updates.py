@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..sources.collection import Collection
+from ..sources.collection import Collection, one_per_id
 from ..sources.literal import small_table
 from ..sources.storage import ensure_checkpoint_dir
 
@@ -44,16 +44,6 @@ def update_frame(
     return small_table(spark, columns, rows)
 
 
-def _one_per_id(updates: DataFrame, id: str, attrs: Sequence[str]) -> DataFrame:
-    """Fail on an id that is updated twice; the exchange is the one the join needs."""
-    counted = updates.groupBy(id).agg(
-        F.count(F.lit(1)).alias("_n"), *[F.any_value(a).alias(a) for a in attrs]
-    )
-    twice = F.raise_error(F.concat(F.lit("two updates of id "), F.col(id).cast("string")))
-    checked = {a: F.when(F.col("_n") == 1, F.col(a)).otherwise(twice) for a in attrs}
-    return counted.withColumns(checked).drop("_n")
-
-
 def known_attributes(collection: Collection, updates: DataFrame, ignore_missing: bool) -> list[str]:
     attrs = [c for c in updates.columns if c != collection.id]
     unknown = [a for a in attrs if a not in collection.attrs]
@@ -72,7 +62,7 @@ def update_attributes(collection: Collection, updates: DataFrame, ignore_missing
     attrs = known_attributes(collection, updates, ignore_missing)
     if not attrs:
         return collection
-    new = _one_per_id(updates, collection.id, attrs)
+    new = one_per_id(updates.select(collection.id, *attrs), collection.id)
     for a in attrs:
         if isinstance(updates.schema[a].dataType, T.ArrayType):
             new = new.withColumn(a, F.array_sort(F.array_distinct(a)))
@@ -81,7 +71,7 @@ def update_attributes(collection: Collection, updates: DataFrame, ignore_missing
 
 def updated_count(collection: Collection, updates: DataFrame) -> DataFrame:
     """One row, ``n_updated``: how many documents an update touches."""
-    ids = updates.select(collection.id).distinct()
+    ids = one_per_id(updates, collection.id).select(collection.id)
     touched = collection.df.select(collection.id).join(ids, collection.id, "left_semi")
     return touched.agg(F.count(F.lit(1)).alias("n_updated"))
 

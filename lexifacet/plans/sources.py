@@ -99,7 +99,7 @@ def postings_search(spark, sf_dir):
     path = new_folder(spark, "postings")
     c = documents(spark, sf_dir)
     write_postings(c, path, buckets=16)
-    indexed = open_postings(c, path, buckets=16)
+    indexed = open_postings(c, path)
     return Search.over(indexed).where(And("license", "the")).found().select("doc_id", "weight", "lang")
 
 

@@ -9,6 +9,7 @@ from __future__ import annotations
 import re
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field, replace
+from functools import reduce
 from numbers import Integral, Real
 from typing import NamedTuple
 
@@ -23,10 +24,11 @@ from .operators import groups as grp
 from .operators import match as m
 from .operators import order as o
 from .operators.keywords import word_stats
+from .operators.match import Word
 from .operators.merge import merge_collections
 from .operators.overrides import check_values, override_frame
 from .operators.rank import MODE_RANKERS, RANKERS, Ranking, positional_weights
-from .sources.collection import Collection
+from .sources.collection import Collection, one_per_id
 
 # Match mode names and the defaults of a new query.
 MATCH_MODES = ("all", "any", "phrase", "boolean", "extended", "extended2", "fullscan")
@@ -174,13 +176,13 @@ class Search:
     def filter_values(self, attr: str, values, exclude: bool = False) -> Search:
         attr = o.MAGIC_COLUMNS.get(_text(attr, "attribute"), attr)
         flt.values(attr, values, False, exclude)
-        return self._filtered(attr, lambda s: flt.values(attr, values, flt.is_multi(s, attr), exclude))
+        return self._filtered(attr, lambda s: flt.values(attr, values, flt.is_multi(s, attr), exclude, flt.kind_of(s, attr)))
 
     def filter_range(self, attr: str, low: int, high: int, exclude: bool = False) -> Search:
         attr = o.MAGIC_COLUMNS.get(_text(attr, "attribute"), attr)
         flt.int_range(attr, low, high, False, exclude)
         return self._filtered(
-            attr, lambda s: flt.int_range(attr, low, high, flt.is_multi(s, attr), exclude)
+            attr, lambda s: flt.int_range(attr, low, high, flt.is_multi(s, attr), exclude, flt.kind_of(s, attr))
         )
 
     def filter_float_range(self, attr: str, low: float, high: float, exclude: bool = False) -> Search:
@@ -305,7 +307,9 @@ class Search:
         for attr, kind, values in self.overrides:
             if attr not in c.attrs:
                 raise ValueError(f"no such attribute: {attr}")
-            if kind != "frame":
+            if kind == "frame":
+                values = one_per_id(values, c.id)
+            else:
                 values = override_frame(c.df.sparkSession, c.id, attr, kind, values)
             frames.append(values)
         return replace(c, overlays=(*c.overlays, *frames)) if frames else c
@@ -364,10 +368,14 @@ class Search:
         return [a for a in first.attrs if all(a in c.attrs for c in rest)]
 
     def factors(self) -> DataFrame:
-        """Ranking factors per (document, field) of the matches."""
-        c = self.collections[0]
-        df, tree = self.hit_rows(c)
-        return self._ranking(c, tree).factors(df)
+        """Ranking factors per (document, field) of the matches in every collection."""
+        parts = []
+        for c in self.collections:
+            df, tree = self.hit_rows(c)
+            if tree is None:
+                raise ValueError("a full scan has no ranking factors")
+            parts.append(self._ranking(c, tree).factors(df).withColumnRenamed(c.id, self.id))
+        return reduce(DataFrame.unionByName, parts)
 
     def found(self) -> DataFrame:
         """All matches: id, weight, attributes, computed columns. Not sorted or cut."""
@@ -406,7 +414,7 @@ class Search:
         if mode == "relevance":
             keys = [("weight", False)]
         elif mode in ("attr_desc", "attr_asc"):
-            keys = [(by, mode == "attr_asc"), ("weight", False)]
+            keys = [({**o.MAGIC_COLUMNS, "@id": self.id}.get(by, by), mode == "attr_asc"), ("weight", False)]
         elif mode == "time_segments":
             df = df.withColumn("time_segment", time_segment(F.col(by), F.lit(now)))
             keys = [("time_segment", False), ("weight", False), (by, False)]
@@ -465,13 +473,19 @@ class Search:
         return o.totals(self.found() if found is None else found, self.max_matches)
 
     def words(self) -> DataFrame | None:
-        """(word, docs, hits) of the query's words over the whole first collection."""
-        c = self.collections[0]
-        tree = self._tree(c)
-        if tree is None:
-            return None
-        words = [w.text.lower() for part in tree.parts() for _, w in part.words()]
-        return word_stats(c, [w for w in words if w not in c.stopwords])
+        """(word, docs, hits) of the query's words over all collections searched."""
+        parts = []
+        for c in self.collections:
+            tree = self._tree(c)
+            if tree is None:
+                return None
+            found = [w for part in tree.parts() for _, w in part.words()]
+            words = [Word(w.text.lower(), exact=w.exact) for w in found]
+            parts.append(word_stats(c, [w for w in words if w.exact or w.text not in c.stopwords]))
+        if len(parts) == 1:
+            return parts[0]
+        every = reduce(DataFrame.unionByName, parts)
+        return every.groupBy("word").agg(F.sum("docs").alias("docs"), F.sum("hits").alias("hits"))
 
     def result(self) -> Result:
         c = self.collections[0]

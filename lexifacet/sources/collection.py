@@ -23,6 +23,16 @@ class FieldHits:
     length: Column
 
 
+def one_per_id(values: DataFrame, id: str) -> DataFrame:
+    """The values, failing on an id that comes twice. The check is in the id itself, which every
+    use reads, so no unread column can take it away."""
+    rest = [F.any_value(c).alias(c) for c in values.columns if c != id]
+    counted = values.groupBy(id).agg(F.count(F.lit(1)).alias("_n"), *rest)
+    twice = F.raise_error(F.concat(F.lit("two updates of id "), F.col(id).cast("string")))
+    checked = F.when(F.col("_n") == 1, F.col(id)).otherwise(twice.cast(values.schema[id].dataType))
+    return counted.withColumn(id, checked).select(*values.columns)
+
+
 def replace_values(df: DataFrame, id: str, values: DataFrame) -> DataFrame:
     """Put the columns of ``values`` in place on its ids; other rows stay.
 

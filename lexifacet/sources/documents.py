@@ -19,12 +19,3 @@ def read_xml(spark: SparkSession, path: str, row_tag: str, schema: str) -> DataF
     """One row per ``row_tag`` element. The schema is declared, so no inference pass."""
     return spark.read.schema(schema).option("rowTag", row_tag).xml(path)
 
-
-def read_table(spark: SparkSession, path: str, key: str | None = None) -> DataFrame:
-    """A Parquet table. With ``key``, a table of fewer splits than cores is spread by
-    that key first; a table large enough to fill the cluster is left as it is."""
-    df = spark.read.parquet(path)
-    if key is None:
-        return df
-    cores = spark.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, key)

@@ -14,6 +14,7 @@ documents ends up in many files written by many tasks.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 from dataclasses import dataclass, fields
 
@@ -24,6 +25,11 @@ from ..functions import hits as H
 from ..functions import text as T
 from ..functions.frames import compute_once
 from .collection import Collection
+from .literal import small_table
+
+
+#: Layout of the written tables.
+FORMAT = 1
 
 
 def token_positions(tokens: Column) -> Column:
@@ -84,12 +90,16 @@ def _write_buckets(rows: DataFrame, path: str, buckets: int) -> None:
 
 
 def write_postings(collection: Collection, path: str, buckets: int = 64) -> None:
-    """Write the three tables under ``path``, which must not exist."""
+    """Write the three tables and their settings under ``path``, which must not exist."""
     _write_buckets(field_postings(collection), f"{path}/postings", buckets)
     _write_buckets(collection.terms(), f"{path}/terms", buckets)
     lengths = {f"_len_{i}": F.size(T.tokenize(f)) for i, f in enumerate(collection.fields)}
     docs = collection.rows().withColumns(lengths).drop(*collection.fields)
     docs.write.mode("errorifexists").parquet(f"{path}/docs")
+    columns = [("format", "int"), ("buckets", "int"), ("id", "string"), ("fields", "string")]
+    row = (FORMAT, buckets, collection.id, json.dumps(list(collection.fields)))
+    settings = small_table(collection.df.sparkSession, columns, [row])
+    settings.coalesce(1).write.mode("errorifexists").parquet(f"{path}/settings")
 
 
 @dataclass(frozen=True)
@@ -214,8 +224,14 @@ class IndexedCollection(Collection):
         return sized.select("_size.*", *docs)
 
 
-def open_postings(collection: Collection, path: str, buckets: int = 64) -> IndexedCollection:
-    """The collection over a path written by :func:`write_postings`."""
-    docs = collection.df.sparkSession.read.parquet(f"{path}/docs")
+def open_postings(collection: Collection, path: str) -> IndexedCollection:
+    """The collection over a path written by :func:`write_postings`, read as its
+    settings say. Another format, id or list of fields is an error."""
+    spark = collection.df.sparkSession
+    written = spark.read.parquet(f"{path}/settings").first()
+    found = (written.format, written.id, json.loads(written.fields))
+    if found != (FORMAT, collection.id, list(collection.fields)):
+        raise ValueError(f"{path} was written as (format, id, fields) {found}")
+    docs = spark.read.parquet(f"{path}/docs")
     settings = {f.name: getattr(collection, f.name) for f in fields(Collection)}
-    return IndexedCollection(**{**settings, "df": docs}, path=path, buckets=buckets)
+    return IndexedCollection(**{**settings, "df": docs}, path=path, buckets=written.buckets)

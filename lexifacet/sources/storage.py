@@ -2,23 +2,21 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """``spark.checkpoint.dir`` of the session. Only a local session, where nothing
-    is shared, may go without it."""
+    """``spark.checkpoint.dir`` of the session; where that is unset, a folder beside
+    the warehouse, which executors share as well."""
     context = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
     if context.getCheckpointDir() is None:
-        if not context.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="run-", dir="/tmp"))
+        warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+        context.setCheckpointDir(f"{warehouse}/run-{uuid.uuid4().hex}")
     return context.getCheckpointDir().rstrip("/")
 
 

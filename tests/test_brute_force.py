@@ -43,7 +43,7 @@ def c(spark):
 def indexed(spark, c):
     path = new_folder(spark, "small")
     write_postings(c, path, buckets=4)
-    return open_postings(c, path, buckets=4)
+    return open_postings(c, path)
 
 
 def tokens(text):

@@ -79,7 +79,7 @@ def test_a_written_word_table_reads_only_its_buckets(spark):
     c = documents(spark, SF_DIR)
     path = new_folder(spark, "plan")
     write_postings(c, path, buckets=8)
-    text = plan(Search.over(open_postings(c, path, buckets=8)).where(And("license", "the")).found())
+    text = plan(Search.over(open_postings(c, path)).where(And("license", "the")).found())
     assert "regexp_extract_all" not in text
     assert re.search(r"PartitionFilters: \[bucket#\d+ IN \(\d+,\d+\)\]", text)
     assert "PushedFilters: [In(token, [license,the])" in text
