@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
+from lexifacet.plans import QUERIES
 from lexifacet import And, Collection, Or, Search
 from lexifacet.operators.updates import update_attributes
 from lexifacet.plans.tables import documents, orders
@@ -22,7 +23,7 @@ def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", [n for n in entry.queries() if n not in WRITES])
+@pytest.mark.parametrize("name", [n for n in QUERIES if n not in WRITES])
 def test_no_cross_join_no_python_no_single_task_window(spark, name):
     text = plan(entry.queries()[name](spark, SF_DIR))
     for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython", "MapInPandas"):
