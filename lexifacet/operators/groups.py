@@ -43,9 +43,11 @@ def best_per_group(
     distinct: str | None = None,
     aggregates: Mapping[str, Column] | None = None,
     approximate: float | None = None,
+    columns: Sequence[str] | None = None,
 ) -> DataFrame:
     """One row per ``group_key``: its best row by ``match_order``, ``group_count``,
-    ``group_distinct`` when asked for, and any extra aggregates by name."""
+    ``group_distinct`` when asked for, and any extra aggregates by name. Of the best row
+    only ``columns`` are carried through the aggregation; without them, all."""
     counts = {"group_count": F.count(F.lit(1))}
     if distinct is not None:
         counts["group_distinct"] = (
@@ -55,7 +57,10 @@ def best_per_group(
         )
     counts.update(aggregates or {})
     counted = [c.alias(name) for name, c in counts.items()]
-    columns = [c for c in df.columns if c != "group_key"]
+    wanted = df.columns if columns is None else columns
+    columns = [c for c in dict.fromkeys(wanted) if c != "group_key"]
+    if not columns:
+        return df.groupBy("group_key").agg(*counted).select("group_key", *counts)
     key = best_first(df.schema, match_order)
     if key is not None:
         best = F.min_by(F.struct(*columns), key).alias("_best")

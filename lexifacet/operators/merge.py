@@ -30,8 +30,9 @@ def merge_collections(
     factor = F.lit(1).cast("long")
     for name, weight in (weights or {}).items():
         factor = F.when(F.col("collection") == name, F.lit(int(weight)).cast("long")).otherwise(factor)
-    last = F.max_by(F.struct("weight", *columns), "ordinal").alias("_last")
-    total = F.sum(F.col("weight") * factor).alias("_total")
-    merged = every.groupBy(id).agg(last, total)
-    weight = F.col("_total") if weights else F.col("_last.weight")
-    return merged.select(id, weight.alias("weight"), *[F.col(f"_last.{c}").alias(c) for c in columns])
+    # One aggregate per column: those that nobody reads are pruned, down to the scan.
+    last = [F.max_by(c, "ordinal").alias(c) for c in columns]
+    weight = F.max_by("weight", "ordinal")
+    if weights:
+        weight = F.sum(F.col("weight") * factor)
+    return every.groupBy(id).agg(weight.alias("weight"), *last)

@@ -182,7 +182,7 @@ def select_alias_reuse(spark, sf_dir):
         .filter_range("size_class", 1, 40)
         .group_by("size_class", "attr", "size_class DESC")
     )
-    return s.groups().select("group_key", "group_count", "doc_id")
+    return s.groups(columns=["doc_id"]).select("group_key", "group_count", "doc_id")
 
 
 # An anchor in radians.

@@ -15,7 +15,9 @@ def all_orders(spark, sf_dir) -> Search:
 
 
 def grouped(s: Search, *columns):
-    return s.groups().select("group_key", "group_count", *columns)
+    extra = {"group_distinct", *s.group_columns}
+    own = [c for c in columns if c not in extra]
+    return s.groups(columns=own).select("group_key", "group_count", *columns)
 
 
 @query(
@@ -59,7 +61,7 @@ def group_year(spark, sf_dir):
        min(o_orderkey) AS o_orderkey FROM orders GROUP BY 1, 2""",
 )
 def group_attrpair(spark, sf_dir):
-    g = all_orders(spark, sf_dir).group_by("o_orderstatus", "attrpair").groups()
+    g = all_orders(spark, sf_dir).group_by("o_orderstatus", "attrpair").groups(columns=["o_orderkey"])
     return g.select(
         F.col("group_key.o_orderstatus").alias("first_attr"),
         F.col("group_key.o_orderpriority").alias("next_attr"),
@@ -149,6 +151,19 @@ def group_aggregates(spark, sf_dir):
     return grouped(s, "avg_price", "min_price", "max_price", "sum_price")
 
 
+@query(
+    "select_aggregates",
+    """SELECT o_orderstatus AS group_key, count(*) AS group_count, round(avg(o_totalprice), 4) AS avg_price,
+       max(o_orderdate)::TIMESTAMP AS last_date, min(o_orderkey) AS o_orderkey
+FROM orders GROUP BY 1 ORDER BY 1 DESC LIMIT 20""",
+)
+def select_aggregates(spark, sf_dir):
+    s = all_orders(spark, sf_dir).group_by("o_orderstatus")
+    s = s.select("*", "AVG(o_totalprice) AS mean_price", "MAX(o_orderdate) AS last_date")
+    m = s.matches()
+    return m.select("group_key", "group_count", F.round("mean_price", 4).alias("avg_price"), "last_date", "o_orderkey")
+
+
 @query(
     "group_topk",
     """WITH g AS (

@@ -38,6 +38,8 @@ DEFAULT_MAX_MATCHES = 1000
 DEFAULT_GROUP_SORT = "@group desc"
 
 _ALIASED = re.compile(r"(?is)\sas\s+`?([A-Za-z_]\w*)`?\s*$")
+#: Functions that make a selected expression an aggregate of its group.
+_AGGREGATE = re.compile(r"(?is)^\s*(avg|min|max|sum|count)\s*\(")
 _NAME = re.compile(r"^\s*(\*|@?[A-Za-z_]\w*)\s*$")
 
 
@@ -349,7 +351,9 @@ class Search:
             df = df.filter(tree.holds(c, c.field_hits()))
         df = self._filter(c.finish(df), set(c.attrs) - set(c.settled_attrs))
         if self.cutoff:
-            df = df.orderBy(c.id).limit(self.cutoff)
+            # Only ids go to one task; the kept matches are ranked where they are.
+            first = df.select(c.id).orderBy(c.id).limit(self.cutoff)
+            df = df.filter(F.col(c.id) <= first.agg(F.max(c.id)).scalar())
         return df, tree
 
     def _found_in(self, c: Collection) -> DataFrame:
@@ -393,10 +397,9 @@ class Search:
             computed["geodist"] = haversine(F.col(lat), F.col(lon), lat0, lon0)
         if computed:
             df = self._with(df, computed)
-        exprs = [c for c in self.selected if _ALIASED.search(c)]
+        exprs = self._selected_expressions(aggregates=False)
         if exprs:
-            named = {_ALIASED.search(c).group(1): F.expr(self._plain(_ALIASED.sub("", c))) for c in exprs}
-            df = self._with(df, named)
+            df = self._with(df, exprs)
         for make in self.computed_filters:
             test = make(df.schema)
             df = df if test is None else df.filter(test)
@@ -405,6 +408,14 @@ class Search:
     def _with(self, df: DataFrame, columns: dict[str, Column]) -> DataFrame:
         return compute_once(df, columns) if self.computed_filters else df.withColumns(columns)
 
+    def _selected_expressions(self, aggregates: bool) -> dict[str, Column]:
+        """The selected expressions by name; with groups, those of AVG, MIN, MAX, SUM or COUNT
+        are aggregates over the matches of a group, all others belong to a match."""
+        every = [(a.group(1), _ALIASED.sub("", c)) for c in self.selected if (a := _ALIASED.search(c))]
+        grouped = self.group is not None
+        kept = [(n, e) for n, e in every if (grouped and bool(_AGGREGATE.match(e))) == aggregates]
+        return {n: F.expr(self._plain(e)) for n, e in kept}
+
     def _plain(self, expr: str) -> str:
         names = {**o.MAGIC_COLUMNS, "@id": self.id}
         return re.sub(r"@\w+", lambda x: names.get(x.group(0), x.group(0)), expr)
@@ -425,12 +436,14 @@ class Search:
             keys = [("sort_expr", False)]
         return df, o.with_tie_break(keys, self.id)
 
-    def groups(self, found: DataFrame | None = None) -> DataFrame:
-        """All groups with their best match. Not sorted or cut."""
+    def groups(self, found: DataFrame | None = None, columns: Sequence[str] | None = None) -> DataFrame:
+        """All groups with their best match. Not sorted or cut. ``columns`` names what to
+        take of the best match; without it, everything."""
         df, keys = self._sorted(self.found() if found is None else found)
         attr, func, _ = self.group
         df = grp.with_group_key(df, attr, func, self.collections[0].attrs)
-        return grp.best_per_group(df, keys, self.distinct, self.group_columns, self.distinct_error)
+        aggregates = {**self._selected_expressions(aggregates=True), **self.group_columns}
+        return grp.best_per_group(df, keys, self.distinct, aggregates, self.distinct_error, columns)
 
     def _visible(self, df: DataFrame) -> DataFrame:
         if "*" in [c.strip() for c in self.selected]:

@@ -60,6 +60,34 @@ def test_groups_combine_before_one_exchange(spark):
     assert "partial_min_by" in text.split("Exchange")[1]
 
 
+@pytest.mark.parametrize("name", ["group_attr", "group_best_by_text"])
+def test_groups_read_only_what_is_wanted(spark, name):
+    text = plan(entry.queries()[name](spark, SF_DIR))
+    schemas = {
+        "group_attr": "struct<o_orderkey:bigint,o_custkey:bigint>",
+        "group_best_by_text": "o_totalprice",
+    }
+    if name == "group_attr":
+        assert set(re.findall(r"ReadSchema: (\S+>)", text)) == {schemas[name]}
+    else:
+        assert schemas[name] not in text
+
+
+def test_merged_collections_read_only_what_is_wanted(spark):
+    c = orders(spark, SF_DIR)
+    text = plan(Search.over(c, c).everything().found().select("o_orderkey", "o_orderstatus"))
+    assert set(re.findall(r"ReadSchema: (\S+>)", text)) == {"struct<o_orderkey:bigint,o_orderstatus:string>"}
+
+
+def test_a_cutoff_sends_only_ids_to_one_task(spark):
+    c = documents(spark, SF_DIR)
+    text = plan(Search.over(c).match("the of").limits(0, 5, cutoff=7).found())
+    for line in text.splitlines():
+        if "TakeOrderedAndProject" in line:
+            assert re.search(r"output=\[doc_id#\d+L?\]", line), line
+    assert "Subquery" in text
+
+
 def test_texts_do_not_go_through_the_exchange_of_an_attribute_join(spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
