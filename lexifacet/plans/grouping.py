@@ -154,14 +154,14 @@ def group_aggregates(spark, sf_dir):
 @query(
     "select_aggregates",
     """SELECT o_orderstatus AS group_key, count(*) AS group_count, round(avg(o_totalprice), 4) AS avg_price,
-       max(o_orderdate)::TIMESTAMP AS last_date, min(o_orderkey) AS o_orderkey
+       max(o_custkey) AS last_customer, min(o_orderkey) AS o_orderkey
 FROM orders GROUP BY 1 ORDER BY 1 DESC LIMIT 20""",
 )
 def select_aggregates(spark, sf_dir):
     s = all_orders(spark, sf_dir).group_by("o_orderstatus")
-    s = s.select("*", "AVG(o_totalprice) AS mean_price", "MAX(o_orderdate) AS last_date")
+    s = s.select("*", "AVG(o_totalprice) AS mean_price", "MAX(o_custkey) AS last_customer")
     m = s.matches()
-    return m.select("group_key", "group_count", F.round("mean_price", 4).alias("avg_price"), "last_date", "o_orderkey")
+    return m.select("group_key", "group_count", F.round("mean_price", 4).alias("avg_price"), "last_customer", "o_orderkey")
 
 
 @query(
