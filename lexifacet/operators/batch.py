@@ -12,12 +12,17 @@ from pyspark.sql import functions as F
 from ..functions import hits as H
 from ..functions import text as T
 from ..functions.calendar import CALENDAR_UNITS, calendar_key
+from ..functions.frames import compute_once
 from ..sources.collection import Collection
 from ..sources.literal import small_table
 from ..sources.storage import ensure_checkpoint_dir
 from .filters import is_multi
 
 
+#: Query words that may be broadcast.
+TOKENS_SENT = 1_000_000
+
+
 def facets(found: DataFrame, id: str, wanted: Sequence[tuple[str, str]]) -> DataFrame:
     """Several group-bys over one match frame:
     (query_no, group_key, group_count, best id, its weight).
@@ -54,31 +59,40 @@ def search_table(
     best: int | None = None,
 ) -> DataFrame:
     """Run a table of query texts: (query_no, id, weight) of every match, or of the ``best``
-    per query, weighted by phrase proximity summed over the fields.
+    per query. Matches and weights are those of ``Search.match`` without field weights: stop
+    words are left out, word forms meet, a repeated word counts once; ``all`` weighs by
+    phrase proximity, ``any`` by matchany. Texts are plain, so ``*`` parts words here.
+    ``query_no`` is unique; a query without words has no matches.
 
     ``all`` finds the candidates of a query by its rarest word alone, so a word in a
     third of all documents is joined only for queries that have nothing rarer. Each
-    candidate is then one row that holds its query and its document. ``any`` cannot
+    candidate is then one row that holds its query and its hits. ``any`` cannot
     skip a word: it joins on every one.
     """
     if mode not in ("all", "any"):
         raise ValueError("mode must be all or any")
-    asked = queries.select(F.col(query_no).alias("query_no"), T.tokenize(text).alias("_words"))
-    asked = asked.filter(F.size("_words") > 0)
-    wanted = asked.select("query_no", F.explode(F.array_distinct("_words")).alias("token"))
+    asked = _with_forms(collection, queries.select(F.col(query_no).alias("query_no"), T.tokenize(text).alias("_words")))
+    words = asked.select("query_no", F.posexplode("_words").alias("_q", "_forms"))
+    wanted = words.select("query_no", "_q", F.explode("_forms").alias("token"))
     if mode == "all":
         # A word no document has is the rarest and leaves its query without candidates.
         docs = collection.word_docs(wanted.select("token").distinct())
-        counted = wanted.join(docs, "token", "left")
-        rarest = F.min_by("token", F.struct(F.coalesce("docs", F.lit(0)), "token"))
-        wanted = counted.groupBy("query_no").agg(rarest.alias("token"))
-    pairs = collection.document_words().join(wanted, "token").select("query_no", collection.id).distinct()
-    rows = collection.with_tokens(pairs.join(asked, "query_no"))
-    fields = [f"_tok_{i}" for i in range(len(collection.fields))]
+        counted = wanted.join(docs, "token", "left").groupBy("query_no", "_q")
+        sized = counted.agg(F.sum(F.coalesce("docs", F.lit(0))).alias("_docs"), F.collect_list("token").alias("_forms"))
+        rarest = sized.groupBy("query_no").agg(F.min_by("_forms", F.struct("_docs", "_q")).alias("_forms"))
+        wanted = rarest.select("query_no", F.explode("_forms").alias("token"))
+    wanted = wanted.select("query_no", "token").distinct()
+    pairs = _meeting(collection, wanted, asked).select("query_no", collection.id).distinct()
+    flat = asked.withColumn("_flat", F.flatten("_words"))
+    rows = collection.with_tokens(pairs.join(flat, "query_no"))
+    fields = range(len(collection.fields))
     if mode == "all":
-        every = F.concat(*fields) if len(fields) > 1 else F.col(fields[0])
-        rows = rows.filter(F.size(F.array_except("_words", every)) == 0)
-    weight = sum((_proximity(F.col(name), F.col("_words")) for name in fields), F.lit(0).cast("long"))
+        tokens = [f"_tok_{i}" for i in fields]
+        own = F.array_intersect("_flat", F.concat(*tokens) if len(tokens) > 1 else F.col(tokens[0]))
+        rows = rows.filter(T.let(own, lambda ws: F.forall("_words", lambda forms: F.arrays_overlap(forms, ws))))
+    hits = {f"_hits_{i}": H.hits(F.col(f"_tok_{i}"), lambda w: F.array_contains("_flat", w)) for i in fields}
+    rows = compute_once(rows, hits).select("query_no", collection.id, "_words", *hits)
+    weight = sum((_weight(F.col(h), mode, len(hits)) for h in hits), F.lit(0).cast("long"))
     weighted = rows.select("query_no", collection.id, weight.alias("weight"))
     if best is None:
         return weighted
@@ -86,19 +100,63 @@ def search_table(
     return weighted.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= best).drop("_rn")
 
 
-def _proximity(tokens: Column, words: Column) -> Column:
-    """Longest run of the words in the tokens, both arrays of one row."""
-
-    def offsets(w: Column, at: Column) -> Column:
-        places = F.filter(F.transform(words, lambda q, k: F.when(q == w, k)), lambda k: k.isNotNull())
-        return F.transform(places, lambda k: F.struct((at - k).alias("d"), k.alias("q")))
+def _meeting(collection: Collection, wanted: DataFrame, asked: DataFrame) -> DataFrame:
+    """The words of the documents that are among the ``wanted`` (query_no, token).
 
-    hits = F.filter(
-        F.transform(tokens, lambda w, i: F.when(F.array_contains(words, w), F.struct(w.alias("w"), i.alias("p")))),
-        lambda h: h.isNotNull(),
-    )
-    pairs = F.flatten(F.transform(hits, lambda h: offsets(h["w"], h["p"])))
-    return H.longest_run(F.sort_array(pairs)).cast("long")
+    Exploded texts are far larger than Spark takes them for, and may not be the side
+    that is sent around. The wanted tokens are at most those of the queries, which are counted:
+    up to ``TOKENS_SENT`` they are, beyond that both sides are shuffled.
+    """
+    tokens = asked.agg(F.sum(F.size(F.flatten("_words")))).first()[0] or 0
+    if tokens <= TOKENS_SENT:
+        return collection.document_words().join(F.broadcast(wanted), "token")
+    known = collection.document_words().join(wanted.select("token").distinct().hint("merge"), "token", "left_semi")
+    return known.join(wanted.hint("merge"), "token")
+
+
+def _with_forms(collection: Collection, asked: DataFrame) -> DataFrame:
+    """(query_no, _words): the distinct words of each query that are no stop words, in order,
+    each as the array of tokens that stand for it. Queries without words are left out."""
+    words = F.col("_words")
+    if collection.stopwords:
+        words = F.filter(words, lambda w: ~w.isin(sorted(collection.stopwords)))
+    asked = asked.select("query_no", F.array_distinct(words).alias("_words")).filter(F.size("_words") > 0)
+    if not collection.wordforms:
+        return asked.withColumn("_words", F.transform("_words", lambda w: F.array(w)))
+    normal = collection.wordforms
+    same: dict[str, set[str]] = {n: set() if n in normal else {n} for n in normal.values()}
+    for token, n in normal.items():
+        same[n].add(token)
+    known = [(w, sorted(same[normal.get(w, w)])) for w in sorted({*normal, *normal.values()})]
+    spark = asked.sparkSession
+    forms = small_table(spark, [("_word", "string"), ("_forms", "array<string>")], known)
+    rows = asked.select("query_no", F.posexplode("_words").alias("_q", "_word")).join(forms, "_word", "left")
+    one = F.struct("_q", F.coalesce("_forms", F.array("_word")).alias("f"))
+    grouped = rows.groupBy("query_no").agg(F.sort_array(F.collect_list(one)).alias("_words"))
+    return grouped.select("query_no", F.col("_words.f").alias("_words"))
+
+
+def _has(hits: Column, forms: Column) -> Column:
+    return F.exists(hits, lambda h: F.array_contains(forms, h["w"]))
+
+
+def _weight(hits: Column, mode: str, fields: int) -> Column:
+    """Weight of one field's hits for the words of its row: the longest run of the words, or
+    matchany."""
+    words = F.col("_words")
+
+    def offsets(h: Column) -> Column:
+        def place(forms: Column, q: Column) -> Column:
+            return F.when(F.array_contains(forms, h["w"]), F.struct((h["p"] - q).alias("d"), q.alias("q")))
+
+        return F.array_compact(F.transform(words, place))
+
+    run = H.longest_run(F.sort_array(F.flatten(F.transform(hits, offsets)))).cast("long")
+    if mode == "all":
+        return run
+    found = F.size(F.filter(words, lambda forms: _has(hits, forms)))
+    score = found + (run - 1) * F.size(words) * fields
+    return F.when(F.size(hits) > 0, score).otherwise(0).cast("long")
 
 
 def stored(found: DataFrame) -> DataFrame:

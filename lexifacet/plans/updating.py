@@ -114,7 +114,9 @@ def batch_shared(spark, sf_dir):
     "batch_queries",
     f"""WITH {S.BASE},
 bt AS (SELECT item_id AS query_no, regexp_extract_all(lower(text), '{S.WORD}') AS ts FROM benchmark),
-bq AS (SELECT query_no, unnest(ts) AS tok, generate_subscripts(ts, 1) - 1 AS qpos FROM bt),
+bw AS (SELECT query_no, unnest(ts) AS tok, generate_subscripts(ts, 1) AS k FROM bt),
+bf AS (SELECT query_no, tok, min(k) AS k FROM bw GROUP BY 1, 2),
+bq AS (SELECT query_no, tok, row_number() OVER (PARTITION BY query_no ORDER BY k) - 1 AS qpos FROM bf),
 need AS (SELECT query_no, count(DISTINCT tok) AS n FROM bq GROUP BY 1),
 h AS (
   SELECT q.query_no, p.doc_id, p.field, q.qpos, p.tok, p.pos - q.qpos AS d FROM post p JOIN bq q ON q.tok = p.tok),

@@ -14,6 +14,7 @@ ARROW_TYPES = {
     "double": pa.float64(),
     "boolean": pa.bool_(),
     "string": pa.string(),
+    "array<string>": pa.list_(pa.string()),
     "array<bigint>": pa.list_(pa.int64()),
 }
 

@@ -3,6 +3,7 @@
 import math
 import random
 import re
+from dataclasses import replace
 
 import pytest
 
@@ -197,19 +198,24 @@ def test_plain_idf(c):
     assert got == {i: scores[i] for i, f in TOKENS.items() if holds(Or("a", "ü"), f)}
 
 
+TABLE_TEXTS = ["a b", "c d a", "zzz a", "ü", "", "a a", "zzz", "a b a", "d", "ab d b", "A-B, c"]
+
+
 @pytest.mark.parametrize("mode", ["all", "any"])
 @pytest.mark.parametrize("source", ["c", "indexed"])
-def test_query_table(request, spark, source, mode):
+@pytest.mark.parametrize("sent", [0, 1000])
+def test_query_table(request, spark, monkeypatch, source, mode, sent):
+    monkeypatch.setattr("lexifacet.operators.batch.TOKENS_SENT", sent)
     collection = request.getfixturevalue(source)
-    texts = ["a b", "c d a", "zzz a", "ü", "", "a a", "zzz"]
-    queries = spark.createDataFrame(list(enumerate(texts)), "query_no int, text string")
+    queries = spark.createDataFrame(list(enumerate(TABLE_TEXTS)), "query_no int, text string")
     got = search_table(collection, queries, mode=mode, best=5).collect()
     want = set()
-    for n, text in enumerate(texts):
-        query = text.split()
+    for n, text in enumerate(TABLE_TEXTS):
+        query = list(dict.fromkeys(tokens(text)))
         tree = And(*query) if mode == "all" and query else Or(*query) if query else None
+        ranker = "proximity" if mode == "all" else "matchany"
         rows = [
-            (sum(longest_run(query, f) for f in fields), i)
+            (weight(ranker, query, i, None, w=(1, 1)), i)
             for i, fields in TOKENS.items()
             if tree is not None and holds(tree, fields)
         ]
@@ -218,6 +224,22 @@ def test_query_table(request, spark, source, mode):
     assert {(x.query_no, x.id, x.weight) for x in got} == want
 
 
+@pytest.mark.parametrize("mode", ["all", "any"])
+@pytest.mark.parametrize("source", ["c", "indexed"])
+def test_query_table_equals_search(request, spark, source, mode):
+    settings = {"stopwords": frozenset({"d"}), "wordforms": {"ab": "a", "a_b": "a", "c": "ü"}}
+    collection = replace(request.getfixturevalue(source), **settings)
+    texts = ["c d a", "a b a", "d", "ab d b"]
+    queries = spark.createDataFrame(list(enumerate(texts)), "query_no int, text string")
+    got = sorted((x.query_no, x.id, x.weight) for x in search_table(collection, queries, mode=mode).collect())
+    want = [
+        (n, x.id, x.weight)
+        for n, text in enumerate(texts)
+        for x in Search.over(collection).match(text, mode).found().collect()
+    ]
+    assert got == sorted(want)
+
+
 def test_wordforms_and_stopwords(c):
     forms = {"ab": "a", "a_b": "a"}
     d = Collection("docs", c.df, "id", c.fields, c.attrs, stopwords={"d"}, wordforms=forms)
