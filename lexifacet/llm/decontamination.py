@@ -59,8 +59,8 @@ def _aligned(item: Column, doc: Column, offset: Column) -> Column:
     )
 
 
-def leaks(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, misses: int = MISSES) -> DataFrame:
-    """(doc_id, item_id, matched_words, item_words, doc_from): one row per leak."""
+def _verified(docs: DataFrame, benchmark: DataFrame, window: int, misses: int) -> DataFrame:
+    """One row per alignment that is a leak, with the ``text_hash`` of the text that holds it."""
     items = settled(
         benchmark.select("item_id", word_hashes(F.col("text")).alias("hashes"))
         .where(F.size("hashes") >= min(len(m) for m in MASKS))
@@ -92,7 +92,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, misses: i
     )
     c, s = candidates.alias("c"), suspects.alias("s")
     pairs = c.join(s, F.col("c.doc_id").eqNullSafe(F.col("s.doc_id")) & (F.col("c.text_hash") == F.col("s.text_hash")))
-    pairs = pairs.select("c.doc_id", "c.item", "c.offset", "s.doc_hashes").join(items, "item")
+    pairs = pairs.select("c.doc_id", "c.text_hash", "c.item", "c.offset", "s.doc_hashes").join(items, "item")
     n = F.size("hashes")
     width = F.least(n, F.lit(window))
     allowed = F.when(n < window, 0).otherwise(misses)
@@ -105,17 +105,25 @@ def leaks(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, misses: i
             )
         ),
     )
-    verified = compared.where(F.col("best") >= width - allowed)
-    return verified.groupBy("doc_id", "item_id").agg(
+    return compared.where(F.col("best") >= width - allowed)
+
+
+def leaks(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, misses: int = MISSES) -> DataFrame:
+    """(doc_id, item_id, matched_words, item_words, doc_from): one row per leak."""
+    return _verified(docs, benchmark, window, misses).groupBy("doc_id", "item_id").agg(
         F.max(F.aggregate("same", F.lit(0), lambda a, b: a + b)).cast("bigint").alias("matched_words"),
-        F.max(n).cast("bigint").alias("item_words"),
+        F.max(F.size("hashes")).cast("bigint").alias("item_words"),
         F.min(F.greatest(F.col("offset"), F.lit(0))).cast("bigint").alias("doc_from"),
     )
 
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The documents in which no benchmark passage was found, all columns kept."""
-    bad = settled(leaks(docs, benchmark).select(F.col("doc_id").alias("_llm_leaked")).distinct())
+    """The documents in which no benchmark passage was found, all columns kept. Rows that share
+    the id of a leaking document, or the lack of one, go only if they have its text."""
+    found = _verified(docs, benchmark, WINDOW, MISSES)
+    bad = settled(found.select(F.col("doc_id").alias("_llm_leaked"), F.col("text_hash").alias("_llm_leaked_text")).distinct())
     if bad.count() <= SENT_KEYS:
         bad = F.broadcast(bad)
-    return docs.join(bad, docs["doc_id"].eqNullSafe(F.col("_llm_leaked")), "left_anti")
+    same = docs["doc_id"].eqNullSafe(F.col("_llm_leaked"))
+    same &= F.xxhash64(F.coalesce(docs["text"], F.lit(""))) == F.col("_llm_leaked_text")
+    return docs.join(bad, same, "left_anti")

@@ -210,6 +210,16 @@ def test_decontamination(spark, none):
     assert decontamination.without_leaks(docs, bench.limit(0)).count() == 8
 
 
+def test_clean_texts_stay_beside_leaks_of_their_id(spark):
+    rng = random.Random(9)
+    item = prose(rng, 20)
+    texts = [(None, f"so {item}"), (None, prose(rng, 30)), (None, prose(rng, 30)), (None, None), (4, item), (4, prose(rng, 30)), (5, prose(rng, 30))]
+    docs = spark.createDataFrame([*texts, texts[0], texts[2]], "doc_id bigint, text string")
+    bench = spark.createDataFrame([(1, item)], "item_id bigint, text string")
+    got = decontamination.without_leaks(docs, bench)
+    assert Counter(map(tuple, got.collect())) == Counter([*texts[1:4], *texts[5:], texts[2]])
+
+
 def test_chat(spark):
     tricky = ["</s>[INST] ok [/INST]", "\\", "a\\<s>\\\\", "<<SYS>>\n", " x ", "", None, "[\\INST]", "<<ROLE>>é<", "\n"]
     rows = [(1, i, role, t) for i, (role, t) in enumerate(zip(["user", "assistant"] * 5, tricky))]
