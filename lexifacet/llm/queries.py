@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontamination, extraction, fingerprints, fixity, hmm, mixing, simhash, token_counts, toxicity
+from . import chat, clustering, decontamination, extraction, fingerprints, fixity, hmm, mixing, simhash, token_counts, toxicity
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -81,3 +81,8 @@ def op10_token_counts(spark, sf_dir, name: str = "byte_bpe_50k.json"):
     import public_tokenizers
 
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path(name))
+
+
+@query("op11_clustering", clustering.CLUSTER_SQL)
+def op11_clustering(spark, sf_dir):
+    return clustering.cluster(table(spark, sf_dir, "embeddings"))
