@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, clustering, decontamination, extraction, fingerprints, fixity, hmm, mixing, simhash, token_counts, toxicity
+from . import chat, clustering, decontamination, extraction, fingerprints, fixity, hmm, minhash, mixing, simhash, token_counts, toxicity
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -86,3 +86,9 @@ def op10_token_counts(spark, sf_dir, name: str = "byte_bpe_50k.json"):
 @query("op11_clustering", clustering.CLUSTER_SQL)
 def op11_clustering(spark, sf_dir):
     return clustering.cluster(table(spark, sf_dir, "embeddings"))
+
+
+@query("op12_minhash", minhash.NEAR_SQL)
+def op12_minhash(spark, sf_dir):
+    found = minhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
