@@ -42,7 +42,7 @@ from pyspark.sql.functions import pandas_udf
 from pyspark.sql.types import ArrayType, LongType
 
 from .common import settled, tokens_of
-from .components import components
+from .components import compact_components as components
 
 SHINGLE = 2
 SEED = 42
@@ -252,18 +252,18 @@ def between_components(index: DataFrame, sketches: DataFrame, roots: DataFrame,
 
 def linked(docs: DataFrame, rows: DataFrame) -> DataFrame:
     """(node, root): the component of every shape that is not a root itself."""
-    shapes = rows.where("n > 0").groupBy("shape").agg(F.min(F.struct("text_hash", "n", "sketch", "bands")).alias("s"))
-    shapes = shapes.select("shape", "s.*")
-    entries = shapes.select("shape", "n", F.explode("bands").alias("band"))
+    full = rows.where("n > 0")
+    shapes = full.groupBy("shape").agg(F.min(F.struct("n", "bands")).alias("s"))
+    entries = shapes.select("shape", "s.n", F.explode("s.bands").alias("band"))
     met = entries.groupBy("band").agg(F.count("*").alias("met")).where("met > 1")
     index = settled(entries.join(met, "band").select("band", "shape", "n", "met"))
-    partners = index.select("shape").distinct()
-    sketches = settled(shapes.join(partners, "shape", "left_semi").select("shape", "sketch", "text_hash"))
+    partners = full.join(index.select("shape").distinct(), "shape", "left_semi")
+    sketches = settled(partners.groupBy("shape").agg(F.min(F.struct("text_hash", "sketch")).alias("s")).select("shape", "s.*"))
     wanted = docs.select("text", _text_hash().alias("text_hash")).join(sketches.select("shape", "text_hash"), "text_hash")
     sets = settled(wanted.dropDuplicates(["shape"]).select("shape", shingles_of("text").alias("hashes")))
     sketches = sketches.select("shape", "sketch")
     links = settled(confirmed(star(index), sets))
-    for nearest in (True, True, False):
+    for nearest in (True, False):
         more = confirmed(between_components(index, sketches, components(links), nearest), sets)
         links = settled(links.unionAll(more))
     return components(links)

@@ -27,7 +27,7 @@ from lexifacet.llm import (
     token_counts,
     toxicity,
 )
-from lexifacet.llm.components import components
+from lexifacet.llm.components import compact_components, components
 
 SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint, item_id bigint, hash bigint, node bigint"
 WORDS = "the of and to in that river stone cloud light paper winter glass mountain yellow seven".split()
@@ -161,6 +161,10 @@ def test_components_of_a_path(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 101), (7, 7)], "a bigint, b bigint")
     roots = {r.node: r.root for r in components(edges).collect()}
     assert roots == {**{i: 0 for i in range(1, 41)}, 101: 100}
+    assert {r.node: r.root for r in compact_components(edges).collect()} == roots
+    few = {r.node: r.root for r in compact_components(edges.where("a < 6"), 2).collect()}
+    assert few == {i: 0 for i in range(1, 7)}
+    assert compact_components(edges.limit(0)).count() == 0
 
 
 def test_hmm(docs, rows, none):
