@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import text as T
 from ..functions.frames import compute_once
 from ..sources.collection import Collection
+from ..sources.statistics import CountedCollection
 from .match import Word
 
 
@@ -79,6 +80,10 @@ def keyword_stats(collection: Collection, wanted: DataFrame) -> DataFrame:
 def corpus_stats(collection: Collection) -> DataFrame:
     """One row: documents, tokens, and per field its tokens and mean length."""
     lengths = [f"_len_{i}" for i in range(len(collection.fields))]
+    if isinstance(collection, CountedCollection):
+        total = sum(F.col(c) for c in lengths).alias("n_tokens")
+        each = [(F.col(c).alias(f"{f}_tokens"), F.when(F.col("n_docs") > 0, F.col(c) / F.col("n_docs")).alias(f"{f}_mean_len")) for c, f in zip(lengths, collection.fields)]
+        return collection.sizes().select("n_docs", total, *[x for pair in each for x in pair])
     if all(c in collection.df.columns for c in lengths):  # a written word table
         rows = collection.df.select(*lengths)
     else:

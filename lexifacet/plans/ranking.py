@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from ..operators.match import And, Or
 from ..search import Search
+from ..sources.statistics import add_statistics, merge_statistics, open_statistics, write_statistics
+from ..sources.storage import new_folder
 from . import sql as S
 from .registry import query
-from .tables import documents
+from .tables import documents, table
 
 WORDS = ["the", "of", "license"]
 TREE = Or(*WORDS)
@@ -51,6 +55,31 @@ def rank_bm25(spark, sf_dir):
     return ranked(spark, sf_dir, "bm25")
 
 
+def counted_documents(spark, sf_dir):
+    """Documents with kept statistics: those without labels were counted first, then the labelled ones arrived."""
+    path = new_folder(spark, "statistics")
+    c = documents(spark, sf_dir)
+    labels = table(spark, sf_dir, "labels").select("doc_id").distinct()
+    write_statistics(replace(c, df=c.df.join(labels, "doc_id", "left_anti")), path, buckets=16)
+    add_statistics(replace(c, df=c.df.join(labels, "doc_id", "left_semi")), path)
+    return c, path
+
+
+@query("rank_bm25_stored", bm25_twin())
+def rank_bm25_stored(spark, sf_dir):
+    """Ranked with kept statistics: the texts are read once."""
+    c, path = counted_documents(spark, sf_dir)
+    return Search.over(open_statistics(c, path)).where(TREE).rank("bm25").found().select("doc_id", "weight")
+
+
+@query("rank_proximity_bm25_stored", PROXIMITY_BM25)
+def rank_proximity_bm25_stored(spark, sf_dir):
+    """The same with the default ranker, after the parts were merged."""
+    c, path = counted_documents(spark, sf_dir)
+    merge_statistics(c, path)
+    return Search.over(open_statistics(c, path)).where(TREE).found().select("doc_id", "weight")
+
+
 @query("rank_none", f"WITH {S.BASE} SELECT DISTINCT doc_id, 1::BIGINT AS weight FROM post WHERE tok IN ({S.quoted(WORDS)})")
 def rank_none(spark, sf_dir):
     return ranked(spark, sf_dir, "none")

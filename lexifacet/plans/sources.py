@@ -12,10 +12,11 @@ from ..sources import collection as C
 from ..sources.catalog import hydrate as hydrate_page
 from ..sources.documents import read_files, read_xml
 from ..sources.postings import open_postings, write_postings
+from ..sources.segments import add_documents, compact, create_segments, delete_documents, open_segments
 from ..sources.storage import new_folder, persist_attributes
 from . import sql as S
 from .registry import query
-from .tables import documents, orders, short_list, table
+from .tables import documents, labelled, orders, short_list, table
 
 
 @query(
@@ -103,6 +104,49 @@ def postings_search(spark, sf_dir):
     return Search.over(indexed).where(And("license", "the")).found().select("doc_id", "weight", "lang")
 
 
+CHANGED = f"""docs AS (
+  SELECT d.doc_id, d.lang, d.n_chars + (l.doc_id IS NOT NULL)::BIGINT AS n_chars, split_part(text, chr(10), 1) AS title,
+         CASE WHEN l.doc_id IS NULL THEN substr(text, length(split_part(text, chr(10), 1)) + 2) ELSE '' END AS body
+  FROM documents d LEFT JOIN (SELECT DISTINCT doc_id FROM labels) l ON l.doc_id = d.doc_id
+  WHERE d.lang IS DISTINCT FROM 'de'),
+{S.POST}"""
+
+
+def changed_documents(spark, sf_dir):
+    """Word tables of all documents, after labelled ones were replaced and those of one language deleted."""
+    path = new_folder(spark, "segments")
+    c = documents(spark, sf_dir)
+    create_segments(c, path, buckets=16)
+    add_documents(labelled(spark, sf_dir), path)
+    delete_documents(c, path, table(spark, sf_dir, "documents").where("lang = 'de'"))
+    return c, path
+
+
+DELTA = f"""WITH {CHANGED},
+{S.all_words(['license', 'the'])},
+{S.proximity(['license', 'the'])},
+{S.bm25(['license', 'the'])}
+SELECT m.doc_id, p.prox * 1000 + b.bm25 AS weight, d.lang, d.n_chars
+FROM m JOIN prox p ON p.doc_id = m.doc_id JOIN bm25 b ON b.doc_id = m.doc_id JOIN docs d ON d.doc_id = m.doc_id"""
+
+
+@query("postings_delta", DELTA)
+def postings_delta(spark, sf_dir):
+    """A search over word tables to which documents were added and from which some were deleted."""
+    c, path = changed_documents(spark, sf_dir)
+    found = Search.over(open_segments(c, path)).where(And("license", "the")).found()
+    return found.select("doc_id", "weight", "lang", "n_chars")
+
+
+@query("postings_compacted", DELTA)
+def postings_compacted(spark, sf_dir):
+    """The same after compaction."""
+    c, path = changed_documents(spark, sf_dir)
+    compact(c, path)
+    found = Search.over(open_segments(c, path)).where(And("license", "the")).found()
+    return found.select("doc_id", "weight", "lang", "n_chars")
+
+
 @query(
     "hydrate",
     f"""WITH {S.found(['the', 'of'])}

@@ -124,9 +124,13 @@ class IndexedCollection(Collection):
     def raw_texts(self) -> list[Column]:
         return []
 
+    def table(self, name: str) -> DataFrame:
+        """The rows of ``postings`` or ``terms``, with their bucket."""
+        return self.spark.read.parquet(f"{self.path}/{name}")
+
     def of_words(self, table: str, test: H.WordTest) -> DataFrame:
         """Rows of the words that pass ``test``; known words prune the buckets read."""
-        df = self.spark.read.parquet(f"{self.path}/{table}")
+        df = self.table(table)
         forms = test.forms
         if forms:
             df = df.filter(F.col("bucket").isin([bucket_of(F.lit(w), self.buckets) for w in forms]))
@@ -162,18 +166,18 @@ class IndexedCollection(Collection):
 
     def terms(self, test: H.WordTest | None = None) -> DataFrame:
         if test is None:
-            return self.spark.read.parquet(f"{self.path}/terms").drop("bucket")
+            return self.table("terms").drop("bucket")
         return self.of_words("terms", test)
 
     def document_words(self) -> DataFrame:
-        return self.spark.read.parquet(f"{self.path}/postings").select(self.id, "token")
+        return self.table("postings").select(self.id, "token")
 
     def word_docs(self, words: DataFrame) -> DataFrame:
         return self.terms().join(words, "token", "left_semi").select("token", "docs")
 
     def with_tokens(self, wanted: DataFrame) -> DataFrame:
         """The tokens of the wanted documents only, put together from their postings."""
-        rows = self.spark.read.parquet(f"{self.path}/postings").drop("bucket")
+        rows = self.table("postings").drop("bucket")
         rows = rows.join(wanted.select(self.id).distinct(), self.id, "left_semi")
         lists = [
             F.collect_list(F.when(F.col("field") == i, F.struct("positions", "token"))).alias(f"_rows_{i}")
