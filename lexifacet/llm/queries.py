@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, clustering, decontamination, extraction, fingerprints, fixity, hmm, minhash, mixing, simhash, token_counts, toxicity
+from . import chat, clustering, decontamination, extraction, fingerprints, fixity, hmm, minhash, mixing, repair, simhash, token_counts, toxicity
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -92,3 +92,8 @@ def op11_clustering(spark, sf_dir):
 def op12_minhash(spark, sf_dir):
     found = minhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_shingles", "component_id", "kept")
+
+
+@query("op13_repair")
+def op13_repair(spark, sf_dir):
+    return repair.repair(repair.damaged(table(spark, sf_dir, "conversations")))

@@ -335,7 +335,7 @@ def test_token_counts(spark):
 
 
 def test_queries_are_complete():
-    assert [int(re.match(r"op(\d+)_", q)[1]) for q in sorted(queries.QUERIES, key=lambda q: int(q[2:].split("_")[0]))] == list(range(1, 13))
+    assert [int(re.match(r"op(\d+)_", q)[1]) for q in sorted(queries.QUERIES, key=lambda q: int(q[2:].split("_")[0]))] == list(range(1, 14))
     assert set(queries.ORACLES) <= set(queries.QUERIES)
 
 
