@@ -112,11 +112,9 @@ class _Marker:
             checks.append(i == F.size(tokens) - 1)
         return all_of(checks)
 
-    def positions(self, tokens: Column) -> Column:
-        return F.filter(
-            F.transform(tokens, lambda w, i: F.when(self._hit(tokens, w, i), i)),
-            lambda i: i.isNotNull(),
-        )
+    def flags(self, tokens: Column) -> Column:
+        """Per token whether it is a hit."""
+        return F.transform(tokens, lambda w, i: F.coalesce(self._hit(tokens, w, i), F.lit(False)))
 
     def applies(self, text: Column) -> Column:
         """In query mode only texts that satisfy the condition get passages."""
@@ -176,10 +174,14 @@ def _highlighted(text: Column, marker: _Marker, o: ExcerptOptions) -> Column:
 
 
 def _passages_of(text: Column, segment: Column, marker: _Marker, o: ExcerptOptions) -> Column:
-    """Passages of one segment: hits closer than two contexts share a passage."""
+    """Passages of one segment: hits closer than two contexts share a passage. One that is longer than the
+    limits gives way to its best window that is not. Work grows with the text, times the limit at most."""
 
     def passages(ps, off, ws):
-        def from_hits(hs: Column) -> Column:
+        def pieces(s: Column, count: Column) -> Column:
+            return F.slice(ps, off + 2 * s + 1, count)
+
+        def from_hits(flags: Column, hs: Column) -> Column:
             gap = 2 * o.around + 1
             starts = F.filter(
                 F.transform(
@@ -187,37 +189,95 @@ def _passages_of(text: Column, segment: Column, marker: _Marker, o: ExcerptOptio
                 ),
                 lambda k: k.isNotNull(),
             )
-            return T.let(starts, lambda at: F.transform(at, lambda a, j: one(hs, at, a, j)))
+            spans = T.let(starts, lambda at: F.transform(at, lambda a, j: span(flags, hs, at, a, j)))
+            kept = F.filter(spans, lambda x: x.isNotNull()) if o.limit or o.limit_words else spans
+            return F.transform(kept, lambda x: describe(flags, x))
 
-        def one(hs, at, a, j):
+        def span(flags, hs, at, a, j):
             b = F.coalesce(F.get(at, j + 1), F.size(hs)) - 1
             s = F.greatest(F.get(hs, a) - o.around, F.lit(0))
             e = F.least(F.get(hs, b) + o.around, F.size(ws) - 1)
-            return T.let(
-                F.struct(s.alias("s"), e.alias("e"), F.slice(hs, a + 1, b - a + 1).alias("own")),
-                describe,
-            )
-
-        def describe(x: Column) -> Column:
-            s, e, own = x["s"], x["e"], x["own"]
-            found = [F.exists(own, lambda h: test(F.get(ws, h))) for test in marker.tests]
-            raw = F.slice(ps, off + 2 * s + 1, 2 * (e - s) + 1)
-            return T.let(
-                F.struct(F.array(*found).alias("cover"), raw.alias("raw")),
-                lambda y: F.struct(
-                    (-F.size(F.filter(y["cover"], lambda c: c))).alias("nd"),
-                    (-F.size(own)).alias("nh"),
+            whole = F.struct(s.alias("s"), e.alias("e"))
+            if not (o.limit or o.limit_words):
+                return whole
+            fits = []
+            if o.limit:
+                fits.append(F.length(F.array_join(pieces(s, 2 * (e - s) + 1), "")) <= o.limit)
+            if o.limit_words:
+                fits.append(e - s + 1 <= o.limit_words)
+            best = T.let(F.slice(hs, a + 1, b - a + 1), lambda own: best_window(flags, own))
+            return F.when(all_of(fits), whole).otherwise(best)
+
+        #: Pieces that can be within the limits: each has a character at least.
+        most = min([x for x in (o.limit, 2 * o.limit_words) if x], default=0)
+
+        def best_window(flags, own):
+            """The window of most distinct words, then of most hits, then the first; NULL if none fits."""
+            windows = F.transform(own, lambda h, i: T.let(window(own, h, i), lambda x: scored(flags, x)))
+            best = F.array_min(F.array_compact(windows))
+            return F.when(best.isNotNull(), F.struct(best["s"].alias("s"), best["e"].alias("e")))
+
+        def window(own, h, i):
+            """From hit ``i`` with its context as far as it goes, or the word alone."""
+            s = F.greatest(h - o.around, F.lit(0))
+            start = F.struct(F.lit(0).alias("len"), F.lit(0).alias("k"), (s - 1).alias("t"))
+
+            def step(acc: Column, piece: Column) -> Column:
+                length, k = acc["len"] + F.length(piece), acc["k"]
+                fits = [k % 2 == 0]
+                if o.limit:
+                    fits.append(length <= o.limit)
+                if o.limit_words:
+                    fits.append(k < 2 * o.limit_words)
+                t = F.when(all_of(fits), s + F.floor(k / 2).cast("int")).otherwise(acc["t"])
+                return F.struct(length.alias("len"), (k + 1).alias("k"), t.alias("t"))
+
+            reach = F.aggregate(pieces(s, F.lit(most)), start, step, lambda acc: acc["t"])
+
+            def widest(t: Column) -> Column:
+                near = F.filter(F.slice(own, i + 1, most), lambda x: F.least(x + o.around, F.size(ws) - 1) <= t)
+                end = F.least(F.element_at(near, -1) + o.around, F.size(ws) - 1)
+                alone = F.length(F.get(ps, off + 2 * h)) <= o.limit if o.limit else F.lit(True)
+                wide = F.when(F.size(near) > 0, F.struct(s.alias("s"), end.alias("e")))
+                return F.coalesce(wide, F.when(alone, F.struct(h.alias("s"), h.alias("e"))))
+
+            return T.let(reach, widest)
+
+        def scored(flags, x):
+            cover = [F.exists(hit_words(flags, x), test) for test in marker.tests]
+            nd = sum([c.cast("int") for c in cover], F.lit(0))
+            score = F.struct((-nd).alias("nd"), (-F.size(hit_words(flags, x))).alias("nh"), x["s"].alias("s"), x["e"].alias("e"))
+            return F.when(x.isNotNull(), score)
+
+        def hit_words(flags, x):
+            words = F.slice(ws, x["s"] + 1, x["e"] - x["s"] + 1)
+            return F.array_compact(F.transform(words, lambda w, k: F.when(F.get(flags, x["s"] + k), w)))
+
+        def describe(flags, x: Column) -> Column:
+            s, e = x["s"], x["e"]
+            parts = F.struct(hit_words(flags, x).alias("own"), pieces(s, 2 * (e - s) + 1).alias("raw"))
+
+            def with_parts(y: Column) -> Column:
+                cover = F.array(*[F.exists(y["own"], test) for test in marker.tests])
+                return F.struct(
+                    (-F.size(F.filter(cover, lambda c: c))).alias("nd"),
+                    (-F.size(y["own"])).alias("nh"),
                     segment.alias("seg"),
                     s.alias("s"),
                     F.length(F.array_join(y["raw"], "")).alias("len"),
                     (e - s + 1).alias("words"),
-                    y["cover"].alias("cover"),
+                    cover.alias("cover"),
                     y["raw"].alias("raw"),
-                    own.alias("own"),
-                ),
-            )
+                    F.slice(flags, s + 1, e - s + 1).alias("flags"),
+                )
+
+            return T.let(parts, with_parts)
+
+        def flagged(flags: Column) -> Column:
+            hs = F.filter(F.transform(flags, lambda f, i: F.when(f, i)), lambda i: i.isNotNull())
+            return T.let(hs, lambda x: from_hits(flags, x))
 
-        return T.let(marker.positions(ws), from_hits)
+        return T.let(marker.flags(ws), flagged)
 
     return _with_tokens(text, passages)
 
@@ -226,18 +286,19 @@ def _marked(p: Column, o: ExcerptOptions) -> Column:
     """The text of a passage with its hits marked."""
 
     def mark(piece: Column, k: Column) -> Column:
-        hit = (k % 2 == 0) & F.array_contains(p["own"], p["s"] + F.floor(k / 2).cast("int"))
+        hit = (k % 2 == 0) & F.get(p["flags"], F.floor(k / 2).cast("int"))
         return F.when(hit, F.concat(F.lit(o.before_match), piece, F.lit(o.after_match))).otherwise(piece)
 
     return F.array_join(F.transform(p["raw"], mark), "")
 
 
 def _kept(best_first: Column, marker: _Marker, o: ExcerptOptions) -> Column:
-    """The passages that fit, best first; the first one always does."""
+    """The passages that fit together with what separates them, best first."""
     zero = F.struct(F.lit(0).alias("len"), F.lit(0).alias("words"), F.lit(0).alias("n"), F.lit(0).alias("r"))
 
     def step(acc: Column, p: Column) -> Column:
-        length, words, n = acc["len"] + p["len"], acc["words"] + p["words"], acc["n"] + 1
+        between = F.when(acc["n"] > 0, len(o.chunk_separator)).otherwise(0)
+        length, words, n = acc["len"] + between + p["len"], acc["words"] + p["words"], acc["n"] + 1
         fits = F.lit(True)
         if o.limit:
             fits = fits & (length <= o.limit)
@@ -247,7 +308,7 @@ def _kept(best_first: Column, marker: _Marker, o: ExcerptOptions) -> Column:
             fits = fits & (n <= o.limit_passages)
         if o.single_passage:
             fits = fits & (n <= 1)
-        r = F.when((n == 1) | fits, n).otherwise(acc["r"])
+        r = F.when(fits, n).otherwise(acc["r"])
         return F.struct(length.alias("len"), words.alias("words"), n.alias("n"), r.alias("r"))
 
     fitting = F.aggregate(best_first, zero, step, lambda acc: acc["r"])
@@ -318,7 +379,7 @@ def excerpt(text, words: str | Condition, lexicon=None, options: ExcerptOptions
 
         chosen = T.let(_passage_texts(t, marker, o), from_passages)
         if whole_if_fits:
-            found = T.let(T.tokenize(t), lambda ws: F.size(marker.positions(ws)) > 0)
+            found = T.let(T.tokenize(t), lambda ws: F.exists(marker.flags(ws), lambda f: f))
             short = F.when(found, _highlighted(t, marker, o)).otherwise(nothing)
             chosen = F.when(F.length(t) <= o.limit, short).otherwise(chosen)
         return F.when(marker.applies(t), chosen).otherwise(nothing) if o.query_mode else chosen

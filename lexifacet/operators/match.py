@@ -10,6 +10,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
+import regex
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -75,6 +76,13 @@ class Word(Condition):
     last: bool = False
     exact: bool = False
 
+    def __post_init__(self):
+        if not isinstance(self.text, str):
+            raise TypeError("a word must be a string")
+        # Marks may come from folding the case of a letter.
+        if not regex.fullmatch(r"[\p{L}\p{N}\p{M}_*]+", self.text):
+            raise ValueError(f"a word is one token, which {self.text!r} is not: use Phrase or match()")
+
     def words(self):
         return [(0, self)]
 

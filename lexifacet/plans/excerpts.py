@@ -60,6 +60,7 @@ def passages(
     limit_words: int = 0,
     single: bool = False,
     force_all: bool = False,
+    separator: str = " ... ",
 ) -> str:
     """psg (ranked passages with text) and kept (the ones that fit)."""
     covers = ", ".join(f"max(CASE WHEN {t} THEN 1 ELSE 0 END) AS c{i}" for i, t in enumerate(tests))
@@ -74,6 +75,14 @@ def passages(
     firsts = ", ".join(
         f"min(CASE WHEN c{i} = 1 THEN rn END) OVER (PARTITION BY id) AS first_{i}" for i in range(len(tests))
     )
+    within = [f"{{len}} <= {limit}"] if limit else []
+    within += [f"{{words}} <= {limit_words}"] if limit_words else []
+
+    def fit(length: str, words: str) -> str:
+        return " AND ".join(within).format(len=length, words=words) or "true"
+
+    names = ", ".join(f"c{i}" for i in range(len(tests)))
+    ends = "greatest(h.pos - {0}, 0)".format(around), "least(g.pos + {0}, x.n - 1)".format(around)
     return f"""gap AS (
   SELECT *, CASE WHEN pos - lag(pos) OVER (PARTITION BY id, seg ORDER BY pos) <= {2 * around + 1} THEN 0 ELSE 1 END AS new
   FROM hit),
@@ -81,9 +90,38 @@ isl AS (SELECT *, sum(new) OVER (PARTITION BY id, seg ORDER BY pos) AS grp FROM
 span AS (
   SELECT id, seg, grp, min(pos) - {around} AS s0, max(pos) + {around} AS e0, count(*) AS nh, {covers}
   FROM isl GROUP BY id, seg, grp),
-clip AS (
-  SELECT x.*, greatest(s0, 0) AS s, least(e0, n - 1) AS e, {distinct} AS nd
+chars AS (SELECT id, k, length(piece) AS size, sum(length(piece)) OVER (PARTITION BY id ORDER BY k) AS till FROM pc),
+tkc AS (SELECT t.id, t.seg, t.pos, t.k, c.till - c.size AS beg, c.till FROM tk t JOIN chars c ON c.id = t.id AND c.k = t.k),
+clip0 AS (
+  SELECT x.*, n, greatest(s0, 0) AS s, least(e0, n - 1) AS e, {distinct} AS nd
   FROM span x JOIN ntk ON ntk.id = x.id AND ntk.seg = x.seg),
+sized AS (
+  SELECT x.*, {fit('b.till - a.beg', 'x.e - x.s + 1')} AS fits FROM clip0 x
+  JOIN tkc a ON a.id = x.id AND a.seg = x.seg AND a.pos = x.s
+  JOIN tkc b ON b.id = x.id AND b.seg = x.seg AND b.pos = x.e),
+wide AS (
+  SELECT x.id, x.seg, x.grp, h.pos AS h, {ends[0]} AS s, max({ends[1]}) AS e
+  FROM sized x JOIN isl h ON h.id = x.id AND h.seg = x.seg AND h.grp = x.grp
+  JOIN isl g ON g.id = x.id AND g.seg = x.seg AND g.grp = x.grp AND g.pos >= h.pos
+  JOIN tkc a ON a.id = x.id AND a.seg = x.seg AND a.pos = {ends[0]}
+  JOIN tkc b ON b.id = x.id AND b.seg = x.seg AND b.pos = {ends[1]}
+  WHERE NOT x.fits AND {fit('b.till - a.beg', f'{ends[1]} - {ends[0]} + 1')}
+  GROUP BY ALL),
+alone AS (
+  SELECT x.id, x.seg, x.grp, h.pos AS h, h.pos AS s, h.pos AS e
+  FROM sized x JOIN isl h ON h.id = x.id AND h.seg = x.seg AND h.grp = x.grp
+  JOIN tkc a ON a.id = x.id AND a.seg = x.seg AND a.pos = h.pos
+  LEFT JOIN wide w ON w.id = x.id AND w.seg = x.seg AND w.h = h.pos
+  WHERE NOT x.fits AND w.id IS NULL AND {fit('a.till - a.beg', '1')}),
+win AS (SELECT * FROM wide UNION ALL SELECT * FROM alone),
+scored AS (
+  SELECT w.id, w.seg, w.grp, w.h, w.s, w.e, count(*) AS nh, {covers}
+  FROM win w JOIN hit h ON h.id = w.id AND h.seg = w.seg AND h.pos BETWEEN w.s AND w.e GROUP BY w.id, w.seg, w.grp, w.h, w.s, w.e),
+best AS (
+  SELECT *, {distinct} AS nd FROM scored
+  QUALIFY row_number() OVER (PARTITION BY id, seg, grp ORDER BY {distinct} DESC, nh DESC, s, e) = 1),
+clip AS (
+  SELECT id, seg, s, e, nh, nd, {names} FROM sized WHERE fits UNION ALL SELECT id, seg, s, e, nh, nd, {names} FROM best),
 placed AS (
   SELECT c.*, a.k AS ks, b.k AS ke FROM clip c
   JOIN tk a ON a.id = c.id AND a.seg = c.seg AND a.pos = c.s
@@ -98,10 +136,10 @@ ranked AS (
   SELECT x.*, t.n_len, t.txt, row_number() OVER (PARTITION BY x.id ORDER BY nd DESC, nh DESC, x.seg, x.s) AS rn
   FROM placed x JOIN txt t ON t.id = x.id AND t.seg = x.seg AND t.s = x.s),
 psg AS (
-  SELECT *, sum(n_len) OVER (PARTITION BY id ORDER BY rn) AS run_len,
+  SELECT *, sum(n_len) OVER (PARTITION BY id ORDER BY rn) + {len(separator)} * (rn - 1) AS run_len,
          sum(e - s + 1) OVER (PARTITION BY id ORDER BY rn) AS run_words, {firsts}
   FROM ranked),
-kept AS (SELECT * FROM psg WHERE rn = 1 OR ({' AND '.join(fits) or 'true'}){forced})"""
+kept AS (SELECT * FROM psg WHERE ({' AND '.join(fits) or 'true'}){forced})"""
 
 
 def head(limit: int) -> str:
@@ -135,7 +173,7 @@ def snippets(
     # Over sentences a short text is shown whole, so its hits are looked up by piece.
     return f"""WITH {pieces(source, boundaries)},
 {hits},
-{passages(tests, **limits)},
+{passages(tests, separator=separator, **limits)},
 out AS (SELECT id, string_agg(txt, '{separator}' ORDER BY {order}) AS txt FROM kept GROUP BY id),
 short AS (
   SELECT p.id, string_agg({marked('h')}, '' ORDER BY p.k) AS txt

@@ -32,7 +32,7 @@ def test_match(s, text, mode):
         s.match(text, mode)
 
 
-@pytest.mark.parametrize("tree", [1, None, Not("wifi"), And(Not("a"), Not("b")), Or("a", Not("b"))])
+@pytest.mark.parametrize("tree", [1, None, "Wi-Fi", "two words", "", Not("wifi"), And(Not("a"), Not("b")), Or("a", Not("b"))])
 def test_where(s, tree):
     with pytest.raises(BAD):
         s.where(tree)
