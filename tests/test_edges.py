@@ -158,7 +158,8 @@ def test_excerpt_edges(spark):
     assert snippet(spark, long, "key key2", around=1, single_passage=True) == "w <b>key2</b> <b>key</b> w"
     assert snippet(spark, long, "key key2", around=1, limit=3) == "<b>key</b>"
     assert snippet(spark, long, "key", around=1, limit_words=3) == "w <b>key</b> w"
-    assert snippet(spark, "A b. C a d! E", "a", around=3, limit=8, use_boundaries=True) == "<b>A</b> b ... C <b>a</b> d"
+    assert snippet(spark, "A b. C a d! E", "a", around=3, limit=12, use_boundaries=True) == "<b>A</b> b"
+    assert snippet(spark, "A b. C a d! Even more", "a", around=3, limit=13, use_boundaries=True) == "<b>A</b> b ... C <b>a</b> d"
 
 
 def test_excerpt_of_a_condition(spark):
