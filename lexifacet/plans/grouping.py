@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..operators.rollup import add_days, day_sketches, merge_days, open_days, rolled_up, standard_error
 from ..search import Search
+from ..sources.storage import new_folder
 from . import sql as S
 from .registry import query
 from .tables import documents, orders
@@ -134,6 +136,26 @@ def group_distinct_approx(spark, sf_dir):
     return grouped(s, "group_distinct")
 
 
+@query(
+    "group_distinct_rollup",
+    """SELECT strftime(o_orderdate, '%Y%m')::INTEGER AS group_key, count(*) AS group_count, true AS within_bound
+FROM orders GROUP BY 1""",
+)
+def group_distinct_rollup(spark, sf_dir):
+    """Customers per month from kept sketches of days, which arrived in two parts, held against exact counts: within
+    five standard errors, or one customer."""
+    s = all_orders(spark, sf_dir)
+    path = new_folder(spark, "days")
+    for test in ("o_orderstatus = 'O'", "o_orderstatus <> 'O'"):
+        add_days(day_sketches(s.found().where(test), "o_orderdate", "o_custkey"), path)
+    merge_days(spark, path)
+    rough = rolled_up(open_days(spark, path), "month")
+    exact = grouped(s.group_by("o_orderdate", "month").group_distinct("o_custkey"), "group_distinct")
+    both = rough.join(exact.select("group_key", F.col("group_distinct").alias("exact")), "group_key")
+    bound = F.greatest(F.lit(1.0), 5 * standard_error() * F.col("exact"))
+    return both.select("group_key", "group_count", (F.abs(F.col("group_distinct") - F.col("exact")) <= bound).alias("within_bound"))
+
+
 @query(
     "group_aggregates",
     """SELECT o_orderstatus AS group_key, count(*) AS group_count, round(avg(o_totalprice), 4) AS avg_price,

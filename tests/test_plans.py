@@ -15,7 +15,7 @@ from lexifacet.sources.storage import new_folder
 
 SF_DIR = "/root/testdata/sf0.001"
 # These write files while they are built; their parts are looked at one by one.
-WRITES = {"postings_delta", "postings_compacted", "rank_bm25_stored", "rank_proximity_bm25_stored"}
+WRITES = {"group_distinct_rollup", "postings_delta", "postings_compacted", "rank_bm25_stored", "rank_proximity_bm25_stored"}
 WRITES |= {"src_files", "src_xml", "postings_search", "sink_attrs", "attr_ordinal", "batch_shared"}
 
 
