@@ -116,7 +116,7 @@ def group_best_by_text(spark, sf_dir):
 FROM orders GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 40 OFFSET 10""",
 )
 def group_sort_count(spark, sf_dir):
-    s = all_orders(spark, sf_dir).group_by("o_custkey", "attr", "@count DESC").limits(10, 40)
+    s = all_orders(spark, sf_dir).group_by("o_custkey", "attr", "@count DESC").limits(10, 40).select("@id")
     return s.matches().select("group_key", "group_count", "o_orderkey")
 
 
@@ -198,7 +198,7 @@ ORDER BY group_distinct DESC, group_count DESC, group_key LIMIT 20 OFFSET 35""",
 )
 def group_topk(spark, sf_dir):
     s = all_orders(spark, sf_dir).group_by("o_custkey", "attr", "@distinct DESC, @count DESC")
-    s = s.group_distinct("o_orderpriority").limits(35, 20, 50)
+    s = s.group_distinct("o_orderpriority").limits(35, 20, 50).select("@id")
     return s.matches().select("group_key", "group_count", "group_distinct", "o_orderkey")
 
 

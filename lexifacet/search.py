@@ -445,6 +445,17 @@ class Search:
         aggregates = {**self._selected_expressions(aggregates=True), **self.group_columns}
         return grp.best_per_group(df, keys, self.distinct, aggregates, self.distinct_error, columns)
 
+    def _group_columns(self) -> list[str] | None:
+        """What a page of groups takes of each best match: what is selected or sorted on; None for everything."""
+        if "*" in [c.strip() for c in self.selected]:
+            return None
+        aggregates = {*self._selected_expressions(aggregates=True), *self.group_columns}
+        made = {"group_key", "group_count", "group_distinct", *aggregates}
+        order = [name for clause in (self.group[2], self.outer and self.outer[0]) if clause for name, _ in o.order_keys(clause, self.id)]
+        named = [a.group(1) if (a := _ALIASED.search(c)) else self._plain(c.strip()) for c in self.selected]
+        extra = [x for x, there in (("geodist", self.anchor), ("sort_expr", self.sort[0] == "expr"), ("time_segment", self.sort[0] == "time_segments")) if there]
+        return [c for c in dict.fromkeys([self.id, "weight", *named, *order, *extra]) if c not in made]
+
     def _visible(self, df: DataFrame) -> DataFrame:
         if "*" in [c.strip() for c in self.selected]:
             return df
@@ -466,7 +477,7 @@ class Search:
         matching and ranking again.
         """
         if self.group is not None:
-            df = self.groups(found)
+            df = self.groups(found, self._group_columns())
             keys = o.with_tie_break(o.order_keys(self.group[2], self.id), "group_key")
         else:
             df, keys = self._sorted(self.found() if found is None else found)
@@ -482,7 +493,7 @@ class Search:
     def totals(self, found: DataFrame | None = None) -> DataFrame:
         """One row: total, total_found. They count groups when there are any."""
         if self.group is not None:
-            return o.totals(self.groups(found), self.max_matches)
+            return o.totals(self.groups(found, ()), self.max_matches)
         return o.totals(self.found() if found is None else found, self.max_matches)
 
     def words(self) -> DataFrame | None:

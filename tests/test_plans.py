@@ -129,3 +129,23 @@ def test_small_word_tables_are_broadcast_by_their_known_size(spark, name):
 def test_literal_overrides_are_broadcast_by_their_known_size(spark):
     s = Search.over(orders(spark, SF_DIR)).everything().override("o_custkey", "integer", {1: 5, 2: 6})
     assert "BroadcastHashJoin" in plan(s.found())
+
+
+def test_a_page_of_groups_reads_what_it_shows(spark):
+    s = Search.over(orders(spark, SF_DIR)).everything().group_by("o_custkey", "attr", "@count DESC")
+    text = plan(s.select("@id").matches())
+    assert "ReadSchema: struct<o_orderkey:bigint,o_custkey:bigint>" in text
+    text = plan(s.select("@id", "o_totalprice").matches())
+    assert "ReadSchema: struct<o_orderkey:bigint,o_custkey:bigint,o_totalprice:" in text
+    assert "ReadSchema: struct<o_custkey:bigint>" in plan(s.totals())
+
+
+def test_narrow_pages_of_groups_equal_wide_ones(spark):
+    s = Search.over(orders(spark, SF_DIR)).everything().group_by("o_custkey", "attr", "@count DESC, o_totalprice DESC").sort_by("attr_desc", "o_totalprice")
+    s = s.group_select(total=F.round(F.sum("o_totalprice"), 2))
+    columns = ["o_orderkey", "weight", "o_orderdate", "group_key", "group_count", "total"]
+    narrow = s.select("o_orderdate", "AVG(o_totalprice) AS mean").matches()
+    assert set(narrow.columns) == {*columns, "mean"}
+    assert narrow.select(columns).collect() == s.matches().select(columns).collect()
+    outer = s.select("@id").outer_select("o_custkey ASC", 0, 5)
+    assert outer.matches().collect() == s.outer_select("o_custkey ASC", 0, 5).matches().select(outer.matches().columns).collect()
