@@ -40,7 +40,8 @@ BLOCKS = frozenset(
     "h4 h5 h6 head header hr html li main menu nav ol p pre search section summary table tbody td tfoot th thead tr ul".split()
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-SKIPPED = frozenset("script style textarea title template noscript iframe object svg math select button canvas audio video".split())
+# Scripts, styles, form fields, and what stands for embedded content that a browser shows in its place.
+SKIPPED = frozenset("script style textarea title template select noscript iframe object canvas audio video".split())
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}}
 SCOPES = frozenset("ul ol dl table article section main body html div nav aside header footer form".split())
 KINDS = ["article", "main", "section", "div", "p", "ul", "li", "nav", "header", "footer", "aside", "form", "h", "table", "head", "blockquote"]

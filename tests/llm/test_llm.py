@@ -296,6 +296,11 @@ def test_extraction(spark):
     assert extraction.extract(df.limit(0), extraction.train(df.limit(0))).count() == 0
 
 
+def test_formulas_and_labels_are_text():
+    page = extraction.Page("<body><p>the value <math><mi>x</mi> = 42</math> given</p><p><svg><title>t</title><text>axis</text></svg> and <button>more</button></p><p>a<select><option>b</select>c<script>d</script></p></body>")
+    assert [re.sub(r"\s+", " ", "".join(t for b, _, t, _ in page.texts if b == i)).strip() for i in range(len(page.tags)) if page.tags[i] == "p"] == ["the value x = 42 given", "axis and more", "ac"]
+
+
 def test_decoding_keeps_nothing_inside_what_is_dropped():
     page = extraction.Page("<body><div><p>a</p><p>b</p></div><div><p>c</p></div></body>")
     rng = random.Random(0)
