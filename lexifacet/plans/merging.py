@@ -6,21 +6,27 @@ from ..operators.merge import union_collections
 from ..search import Search
 from . import sql as S
 from .registry import query
-from .tables import documents, labelled, renamed
+from .tables import LATER, documents, labelled, renamed
 
-# Both collections share the postings of the documents: main uses all of them, the
-# later one only titles of labelled documents.
+# The main collection holds all documents, the later one the labelled documents as they are now.
 TWO = f"""{S.BASE},
+later AS (
+  SELECT doc_id, 0 AS field, regexp_extract_all(lower(title), '{S.WORD}') AS ts FROM docs WHERE doc_id IN (SELECT doc_id FROM labels)
+  UNION ALL
+  SELECT doc_id, 1 AS field, regexp_extract_all(lower('{LATER}' || body), '{S.WORD}') AS ts FROM docs
+  WHERE doc_id IN (SELECT doc_id FROM labels)),
+later_post AS (SELECT doc_id, field, unnest(ts) AS tok, generate_subscripts(ts, 1) - 1 AS pos FROM later),
 {S.lcs(['the', 'of'], 'l')},
-cnt AS (SELECT doc_id, field, count(DISTINCT tok) AS n FROM post WHERE tok IN ('the', 'of') GROUP BY ALL),
-score AS (SELECT c.doc_id, c.field, c.n + (l.lcs - 1) * 4 AS w FROM cnt c JOIN l ON l.doc_id = c.doc_id AND l.field = c.field),
-every AS (
-  SELECT s.doc_id, 0 AS ordinal, sum(s.w)::BIGINT AS weight, any_value(d.n_chars) AS n_chars
-  FROM score s JOIN docs d ON d.doc_id = s.doc_id GROUP BY s.doc_id
+{S.lcs(['the', 'of'], 'm', 'later_post')},
+cnt AS (
+  SELECT 0 AS ordinal, doc_id, field, count(DISTINCT tok) AS n FROM post WHERE tok IN ('the', 'of') GROUP BY ALL
   UNION ALL
-  SELECT s.doc_id, 1 AS ordinal, sum(s.w)::BIGINT AS weight, any_value(d.n_chars) + 1 AS n_chars
-  FROM score s JOIN docs d ON d.doc_id = s.doc_id JOIN labels b ON b.doc_id = s.doc_id
-  WHERE s.field = 0 GROUP BY s.doc_id)"""
+  SELECT 1 AS ordinal, doc_id, field, count(DISTINCT tok) AS n FROM later_post WHERE tok IN ('the', 'of') GROUP BY ALL),
+runs AS (SELECT 0 AS ordinal, * FROM l UNION ALL SELECT 1 AS ordinal, * FROM m),
+every AS (
+  SELECT c.doc_id, c.ordinal, sum(c.n + (r.lcs - 1) * 4)::BIGINT AS weight, any_value(d.n_chars) + c.ordinal AS n_chars
+  FROM cnt c JOIN runs r ON r.ordinal = c.ordinal AND r.doc_id = c.doc_id AND r.field = c.field
+  JOIN docs d ON d.doc_id = c.doc_id GROUP BY c.doc_id, c.ordinal)"""
 
 
 def both(spark, sf_dir):

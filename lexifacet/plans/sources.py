@@ -16,7 +16,7 @@ from ..sources.segments import add_documents, compact, create_segments, delete_d
 from ..sources.storage import new_folder, persist_attributes
 from . import sql as S
 from .registry import query
-from .tables import documents, labelled, orders, short_list, table
+from .tables import LATER, documents, labelled, orders, short_list, table
 
 
 @query(
@@ -106,7 +106,7 @@ def postings_search(spark, sf_dir):
 
 CHANGED = f"""docs AS (
   SELECT d.doc_id, d.lang, d.n_chars + (l.doc_id IS NOT NULL)::BIGINT AS n_chars, split_part(text, chr(10), 1) AS title,
-         CASE WHEN l.doc_id IS NULL THEN substr(text, length(split_part(text, chr(10), 1)) + 2) ELSE '' END AS body
+         CASE WHEN l.doc_id IS NULL THEN '' ELSE '{LATER}' END || substr(text, length(split_part(text, chr(10), 1)) + 2) AS body
   FROM documents d LEFT JOIN (SELECT DISTINCT doc_id FROM labels) l ON l.doc_id = d.doc_id
   WHERE d.lang IS DISTINCT FROM 'de'),
 {S.POST}"""

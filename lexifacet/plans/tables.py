@@ -38,12 +38,16 @@ def documents(spark: SparkSession, sf_dir: str, labels: bool = False, name: str
     return Collection(name, df, "doc_id", ("title", "body"), attrs, sides=sides)
 
 
+#: What the later collection has in front of a body.
+LATER = "of the "
+
+
 def labelled(spark: SparkSession, sf_dir: str) -> Collection:
-    """The later, shorter collection: labelled documents, title only, n_chars + 1."""
+    """The later collection: labelled documents with two words before their body, n_chars + 1."""
     c = documents(spark, sf_dir, name="delta")
     ids = table(spark, sf_dir, "labels").select("doc_id")
     df = c.df.join(ids, "doc_id", "left_semi")
-    df = df.withColumns({"body": F.lit(""), "n_chars": F.col("n_chars") + 1})
+    df = df.withColumns({"body": F.concat(F.lit(LATER), "body"), "n_chars": F.col("n_chars") + 1})
     return replace(c, df=df)
 
 
