@@ -6,12 +6,13 @@ md5 of their id; going round this order until the target is reached gives the so
 words, cut into blocks of ``block_words``. The number of blocks per source is its quota.
 A tree over the output shards splits all quotas in two, again and again: each node draws
 how many blocks of every source go left from the multivariate hypergeometric distribution,
-so quotas are met exactly. The blocks of a source, permuted, are then dealt to the shards in turn,
-which makes the draws disjoint, and each shard shuffles its own blocks.
+so quotas are met exactly. The blocks of a source, in the random order of a seeded hash, are then dealt
+to the shards, the first of them to the first shard and so on, which makes the draws disjoint; each shard
+shuffles its own blocks. What is taken of a document is the sum of its stretches in the shards.
 
 On the driver: one row per source, and sources x shards quotas. Documents are numbered
-within ranges of the md5, whose word totals fix where each range begins, so a large
-source is spread over many tasks.
+within ranges of the md5, whose word totals fix where each range begins, and blocks within ranges of
+their hash, so a large source is spread over many tasks.
 
 Nulls: a null text has size 0; a null source is a source of its own, after all others;
 a null id is ordered as the text 'null'. Documents of size 0 get no draws. Repeated ids
@@ -21,12 +22,13 @@ and rows are documents of their own, ordered by their text's hash. An empty tabl
 from __future__ import annotations
 
 import math
+from typing import NamedTuple
 
 import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import literal_array, settled
+from .common import settled
 
 #: Weights of the sources in code-point order, repeating.
 WEIGHTS = (5, 2, 1)
@@ -34,7 +36,18 @@ MOST_REPEATS = 3
 BLOCK_WORDS = 8192
 SHARDS = 64
 SEED = 7
-DRAWS = "array<struct<block:bigint,shard:int,from_word:bigint,to_word:bigint,copy:int>>"
+DRAWS = "array<struct<block:bigint,from_word:bigint,to_word:bigint,copy:int>>"
+#: Blocks that one row of a source stands for before they are dealt.
+CHUNK_BLOCKS = 1 << 16
+
+
+class Mix(NamedTuple):
+    """``docs``, one row per document: doc_id, text_hash, key (its source), at (words before it in
+    its source), size, source_size, target, and ``draws``, the stretches of its words in the blocks
+    of its source. ``blocks``: (key, block, shard), one row per block."""
+
+    docs: DataFrame
+    blocks: DataFrame
 
 
 def targets(sizes: list[int], weights: list[float], most: float = MOST_REPEATS) -> list[float]:
@@ -70,12 +83,22 @@ def split_quotas(quotas: list[int], shards: int, seed: int = SEED) -> np.ndarray
     return out
 
 
-def _stride(blocks: int) -> int:
-    """A step through 0 .. blocks-1 that meets every one, near the golden section."""
-    step = min(max(1, int(blocks * 0.6180339887)), 1 << 30)
-    while math.gcd(step, blocks) != 1:
-        step += 1
-    return step
+def deal_blocks(facts: DataFrame, seed: int = SEED) -> DataFrame:
+    """(key, block, shard) of facts (key, quota, ends): the blocks of each source in the order of their
+    hash, as many to each shard as the tree says."""
+    first = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("quota") - 1, F.lit(CHUNK_BLOCKS).cast("bigint")))
+    chunks = facts.where("quota > 0").select("key", "quota", first.alias("first")).repartition("key", "first")
+    last = F.least(F.col("first") + CHUNK_BLOCKS, F.col("quota")) - 1
+    blocks = chunks.select("key", F.explode(F.sequence("first", last)).alias("block"))
+    blocks = blocks.withColumn("turn", F.xxhash64(F.lit(seed), "key", "block")).withColumn("range", F.shiftright("turn", 52))
+    ranges = blocks.groupBy("key", "range").agg(F.count(F.lit(1)).alias("n"))
+    starts = ranges.select("key", "range", (F.sum("n").over(Window.partitionBy("key").orderBy("range")) - F.col("n")).alias("start"))
+    order = Window.partitionBy("key", "range").orderBy("turn", "block")
+    placed = blocks.withColumn("place", F.row_number().over(order) - 1).join(starts, ["key", "range"])
+    place = F.col("start") + F.col("place")
+    # One row per source.
+    placed = placed.join(F.broadcast(facts.select("key", "ends")), "key")
+    return placed.select("key", "block", F.size(F.filter("ends", lambda e: e <= place)).alias("shard"))
 
 
 def mix_plan(
@@ -85,9 +108,8 @@ def mix_plan(
     block_words: int = BLOCK_WORDS,
     most: int = MOST_REPEATS,
     seed: int = SEED,
-) -> DataFrame:
-    """One row per document: doc_id, text_hash, size, source_size, target, and ``draws``,
-    the stretches of its words that the mix takes, each with its block and shard."""
+) -> Mix:
+    """What the mix takes of each document, and the shard of each block."""
     spark = docs.sparkSession
     text = F.coalesce(F.col("text"), F.lit(""))
     place = F.md5(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.lit(f":{seed}")).cast("binary"))
@@ -109,16 +131,16 @@ def mix_plan(
     quotas = [-(-t // block_words) for t in takes]
     ends = np.cumsum(split_quotas(quotas, shards, seed), axis=0)
     facts = [
-        (key, size, aim, take, max(1, quota), _stride(max(1, quota)), [int(x) for x in ends[:, i]])
+        (key, size, aim, take, quota, [int(x) for x in ends[:, i]])
         for i, ((key, size), aim, take, quota) in enumerate(zip(sources, aims, takes, quotas))
     ]
-    facts = spark.createDataFrame(facts, "key string, source_size bigint, target double, take bigint, blocks bigint, stride bigint, ends array<bigint>")
+    facts = spark.createDataFrame(facts, "key string, source_size bigint, target double, take bigint, quota bigint, ends array<bigint>")
     order = Window.partitionBy("key", "range").orderBy("place", "doc_id", "text_hash")
     placed = (
         rows.withColumn("before", F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, 0)) - F.col("size"))
         .join(starts, ["key", "range"])
         # One row per source.
-        .join(F.broadcast(facts), "key")
+        .join(F.broadcast(facts.drop("quota", "ends")), "key")
         .withColumn("at", F.col("start") + F.col("before"))
     )
 
@@ -128,10 +150,8 @@ def mix_plan(
         blocks = F.sequence(F.floor(first / block_words), F.floor((last - 1) / block_words))
 
         def draw(block):
-            turn = F.pmod(block * F.col("stride"), F.col("blocks"))
             return F.struct(
                 block.alias("block"),
-                F.size(F.filter("ends", lambda e: e <= turn)).alias("shard"),
                 (F.greatest(first, block * block_words) - first).alias("from_word"),
                 (F.least(last, (block + 1) * block_words) - first).alias("to_word"),
                 F.lit(copy).alias("copy"),
@@ -140,24 +160,35 @@ def mix_plan(
         return F.when(last > first, F.transform(blocks, draw).cast(DRAWS)).otherwise(F.array().cast(DRAWS))
 
     draws = F.flatten(F.array(*[one_pass(c) for c in range(most)]))
-    return placed.select("doc_id", "text_hash", "key", "size", "source_size", "target", draws.alias("draws"))
+    docs = placed.select("doc_id", "text_hash", "key", "at", "size", "source_size", "target", draws.alias("draws"))
+    return Mix(docs, deal_blocks(facts, seed))
 
 
-def shard_rows(plan: DataFrame, seed: int = SEED) -> DataFrame:
-    """(shard, doc_id, text_hash, from_word, to_word, copy): the mix itself, one
+def shard_rows(mix: Mix, seed: int = SEED) -> DataFrame:
+    """(shard, key, at, doc_id, text_hash, block, from_word, to_word, copy): the mix itself, one
     partition per hash of shard, each shard's blocks in random order."""
-    rows = plan.select("doc_id", "text_hash", "key", F.explode("draws").alias("d"))
+    rows = mix.docs.select("key", "at", "doc_id", "text_hash", F.inline("draws")).join(mix.blocks, ["key", "block"])
+    turn = F.xxhash64(F.lit(seed), "shard", "key", "block")
     return (
-        rows.select("d.shard", "doc_id", "text_hash", "d.from_word", "d.to_word", "d.copy", F.xxhash64(F.lit(seed), "key", "d.block").alias("turn"))
+        rows.select("shard", "key", "at", "doc_id", "text_hash", "block", "from_word", "to_word", "copy", turn.alias("turn"))
         .repartition("shard")
-        .sortWithinPartitions("shard", "turn", "copy", "doc_id", "text_hash", "from_word")
+        .sortWithinPartitions("shard", "turn", "copy", "at", "from_word")
     )
 
 
-def taken(plan: DataFrame) -> DataFrame:
-    """The words that the mix takes of each document, repeats counted."""
-    words = F.aggregate("draws", F.lit(0).cast("bigint"), lambda n, d: n + d.to_word - d.from_word)
-    return plan.select("doc_id", "size", "source_size", "target", words.alias("taken"))
+def taken(mix: Mix) -> DataFrame:
+    """(doc_id, size, source_size, target, taken, draws) of every document: the words that all shards
+    together take of it, repeats counted, and its stretches in the shards (none: null)."""
+    stretch = F.struct("shard", "block", "copy", "from_word", "to_word")
+    drawn = shard_rows(mix).groupBy("key", "at").agg(
+        F.sum(F.col("to_word") - F.col("from_word")).alias("taken"),
+        F.sort_array(F.collect_list(stretch)).alias("draws"),
+    )
+    # Only documents with words have a place of their own.
+    docs = mix.docs.drop("draws").alias("d")
+    same = (F.col("d.key") == F.col("t.key")) & (F.col("d.at") == F.col("t.at")) & (F.col("d.size") > 0)
+    joined = docs.join(drawn.alias("t"), same, "left")
+    return joined.select("doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("bigint").alias("taken"), "draws")
 
 
 TAKEN_SQL = r"""

@@ -31,7 +31,7 @@ def op1_fingerprints(spark, sf_dir):
 
 @query("op2_mixing", mixing.TAKEN_SQL)
 def op2_mixing(spark, sf_dir):
-    return mixing.taken(mixing.mix_plan(table(spark, sf_dir, "documents")))
+    return mixing.taken(mixing.mix_plan(table(spark, sf_dir, "documents"))).drop("draws")
 
 
 @query("op3_simhash")

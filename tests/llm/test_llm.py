@@ -102,8 +102,21 @@ def test_mixing(docs, rows, none):
         by_target[r.source_size, r.target] += r.taken
     for (size, target), taken in by_target.items():
         assert taken == math.floor(target) and target <= 3 * size
-    assert mixing.shard_rows(plan).agg(F.sum(F.col("to_word") - F.col("from_word"))).first()[0] == sum(r.taken for r in got)
     assert mixing.taken(mixing.mix_plan(none)).count() == 0
+    drawn = mixing.shard_rows(plan).collect()
+    assert sum(r.to_word - r.from_word for r in drawn) == sum(r.taken for r in got)
+    # Every word of a source's round stands in one place of one block, and every block in one shard.
+    spans = sorted((r.key, r.block * 64, r.copy, r.at + r.from_word, r.at + r.to_word, r.shard) for r in drawn)
+    shard_of, blocks = {}, Counter()
+    for key, block, copy, first, last, shard in spans:
+        assert last > first and shard_of.setdefault((key, block), shard) == shard
+        blocks[key] += last - first
+    quotas = {k: -(-n // 64) for k, n in blocks.items()}
+    assert Counter(k for k, _ in shard_of) == quotas
+    assert sum(len(r.draws or []) for r in got) == len(drawn)
+    dealt = mixing.deal_blocks(plan.docs.sparkSession.createDataFrame([("s", 70000, [20000, 69990, 70000]), ("n", 0, [0, 0, 0])], "key string, quota bigint, ends array<bigint>"))
+    order = [r.shard for r in dealt.orderBy("block").collect()]
+    assert Counter(order) == {0: 20000, 1: 49990, 2: 10} and order != sorted(order)
     split = mixing.split_quotas([100, 7, 0, 31], 6)
     assert split.sum(axis=0).tolist() == [100, 7, 0, 31]
     assert max(split.sum(axis=1)) - min(split.sum(axis=1)) <= 1
