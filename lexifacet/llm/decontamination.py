@@ -8,8 +8,12 @@ some stretch of ``WINDOW`` item words (or the whole item, if shorter) has at mos
 ``MISSES`` differing words (none in an item shorter than ``WINDOW``). The two masks
 together meet every stretch of twelve words with two substitutions, whatever their places.
 
-Nulls: a null text is empty, nothing is found in it or of it. An item of fewer words than
-the shortest mask has is not searched for. Repeated rows give one result per (doc_id, item_id): the best alignment.
+An item of fewer words than the shortest mask has is searched for by an exact mask of its own length, which is
+laid at every word like the others, so any text that holds it word for word is found. The alignments of an item and
+a document are one row, which holds the document's words once.
+
+Nulls: a null text is empty, nothing is found in it or of it; an item without words is not searched for. Extra
+columns are not read; ``without_leaks`` keeps them. Empty tables give no leaks. Repeated rows give one result per (doc_id, item_id): the best alignment.
 Rows with a null doc_id or item_id are reported under null.
 """
 
@@ -36,18 +40,17 @@ def word_hashes(text: Column) -> Column:
     return F.transform(parts, lambda w: F.xxhash64(w))
 
 
-def _masked(hashes: Column, number: int, mask: str) -> Column:
+def _masked(hashes: Column, mask: str) -> Column:
     """The hash of the words that one mask selects, at every word where it fits."""
     picked = [i for i, c in enumerate(mask) if c == "1"]
     fits = F.sequence(F.lit(0), F.size(hashes) - len(mask))
-    made = F.transform(fits, lambda at: F.xxhash64(F.lit(number), *[F.get(hashes, at + i) for i in picked]))
+    made = F.transform(fits, lambda at: F.xxhash64(F.lit(mask), *[F.get(hashes, at + i) for i in picked]))
     return F.when(F.size(hashes) >= len(mask), made).otherwise(F.array().cast("array<bigint>"))
 
 
-def _seed_rows(df: DataFrame, keys: list[str]) -> DataFrame:
+def _seed_rows(df: DataFrame, keys: list[str], masks: list[Column]) -> DataFrame:
     """(keys, hash, at), one row per mask and word."""
-    masked = F.array(*[_masked(F.col("hashes"), number, mask) for number, mask in enumerate(MASKS)])
-    per_mask = df.select(*keys, F.explode(masked).alias("row"))
+    per_mask = df.select(*keys, F.explode(F.array(*masks)).alias("row"))
     return per_mask.select(*keys, F.posexplode("row").alias("at", "hash"))
 
 
@@ -63,22 +66,28 @@ def _verified(docs: DataFrame, benchmark: DataFrame, window: int, misses: int) -
     """One row per alignment that is a leak, with the ``text_hash`` of the text that holds it."""
     items = settled(
         benchmark.select("item_id", word_hashes(F.col("text")).alias("hashes"))
-        .where(F.size("hashes") >= min(len(m) for m in MASKS))
+        .where(F.size("hashes") > 0)
         .distinct()
         .withColumn("item", F.xxhash64("item_id", "hashes"))
     )
-    tests = settled(_seed_rows(items, ["item"]).distinct())
+    # At most as many lengths as the shortest mask has words.
+    n, none = F.size("hashes"), F.array().cast("array<bigint>")
+    short = items.where(n < min(len(m) for m in MASKS)).select(n.alias("n")).distinct()
+    exact = ["1" * r.n for r in short.orderBy("n").collect()]
+    own = [F.when(n == len(m), _masked(F.col("hashes"), m)).otherwise(none) for m in exact]
+    every = [_masked(F.col("hashes"), m) for m in MASKS]
+    tests = settled(_seed_rows(items, ["item"], every + own).distinct())
     passes = max(1, -(-tests.count() // BLOCK_HASHES))
     texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     hashed = texts.select("doc_id", F.xxhash64("text").alias("text_hash"), word_hashes(F.col("text")).alias("hashes"))
-    rows = _seed_rows(hashed, ["doc_id", "text_hash"])
+    rows = _seed_rows(hashed, ["doc_id", "text_hash"], [_masked(F.col("hashes"), m) for m in [*MASKS, *exact]])
     found = None
     for block in range(passes):
         part = tests.where(F.pmod("hash", F.lit(passes)) == block).withColumnRenamed("at", "item_at")
         # At most about BLOCK_HASHES rows of three numbers.
         hits = rows.join(F.broadcast(part), "hash").select("doc_id", "text_hash", "item", (F.col("at") - F.col("item_at")).alias("offset"))
         found = hits if found is None else found.unionAll(hits)
-    candidates = settled(found.distinct())
+    candidates = settled(found.groupBy("doc_id", "text_hash", "item").agg(F.collect_set("offset").alias("offsets")))
     keys = candidates.select("doc_id", "text_hash").distinct()
     keys = keys.withColumnsRenamed({"doc_id": "k_doc", "text_hash": "k_text"})
     if candidates.count() <= SENT_KEYS:
@@ -92,27 +101,29 @@ def _verified(docs: DataFrame, benchmark: DataFrame, window: int, misses: int) -
     )
     c, s = candidates.alias("c"), suspects.alias("s")
     pairs = c.join(s, F.col("c.doc_id").eqNullSafe(F.col("s.doc_id")) & (F.col("c.text_hash") == F.col("s.text_hash")))
-    pairs = pairs.select("c.doc_id", "c.text_hash", "c.item", "c.offset", "s.doc_hashes").join(items, "item")
-    n = F.size("hashes")
+    pairs = pairs.select("c.doc_id", "c.text_hash", "c.item", "c.offsets", "s.doc_hashes").join(items, "item")
     width = F.least(n, F.lit(window))
     allowed = F.when(n < window, 0).otherwise(misses)
-    compared = pairs.withColumn("same", _aligned(F.col("hashes"), F.col("doc_hashes"), F.col("offset"))).withColumn(
-        "best",
-        F.array_max(
-            F.transform(
-                F.sequence(F.lit(0), n - width),
-                lambda i: F.aggregate(F.slice("same", i + 1, width), F.lit(0), lambda a, b: a + b),
-            )
-        ),
-    )
-    return compared.where(F.col("best") >= width - allowed)
+
+    def compared(offset: Column) -> Column:
+        def judged(same: Column) -> Column:
+            starts = F.sequence(F.lit(0), n - width)
+            best = F.array_max(F.transform(starts, lambda i: F.aggregate(F.slice(same, i + 1, width), F.lit(0), lambda a, b: a + b)))
+            matched = F.aggregate(same, F.lit(0), lambda a, b: a + b)
+            return F.struct(offset.alias("offset"), matched.alias("matched"), best.alias("best"))
+
+        # The words compared on one alignment are gone before the next is looked at.
+        return F.get(F.transform(F.array(_aligned(F.col("hashes"), F.col("doc_hashes"), offset)), judged), F.lit(0))
+
+    good = F.filter(F.transform("offsets", compared), lambda x: x["best"] >= width - allowed)
+    return pairs.select("doc_id", "text_hash", "item_id", n.alias("item_words"), F.inline(good))
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, misses: int = MISSES) -> DataFrame:
     """(doc_id, item_id, matched_words, item_words, doc_from): one row per leak."""
     return _verified(docs, benchmark, window, misses).groupBy("doc_id", "item_id").agg(
-        F.max(F.aggregate("same", F.lit(0), lambda a, b: a + b)).cast("bigint").alias("matched_words"),
-        F.max(F.size("hashes")).cast("bigint").alias("item_words"),
+        F.max("matched").cast("bigint").alias("matched_words"),
+        F.max("item_words").cast("bigint").alias("item_words"),
         F.min(F.greatest(F.col("offset"), F.lit(0))).cast("bigint").alias("doc_from"),
     )
 

@@ -237,6 +237,42 @@ def test_decontamination(spark, none):
     assert decontamination.without_leaks(docs, bench.limit(0)).count() == 8
 
 
+def plain_leaks(texts, items):
+    """Every item at every place of every text."""
+
+    def words(text):
+        return re.findall(r"[^\W_]+", (text or "").lower())
+
+    out = {}
+    for i, item in items:
+        want = words(item)
+        width, allowed = min(len(want), 12), 0 if len(want) < 12 else 2
+        for d, text in texts:
+            have = words(text)
+            for offset in range(-len(want) + 1, len(have)) if want else ():
+                same = [0 <= offset + k < len(have) and have[offset + k] == w for k, w in enumerate(want)]
+                if max(sum(same[k : k + width]) for k in range(len(want) - width + 1)) >= width - allowed:
+                    old = out.get((d, i), (0, 0, 10**9))
+                    out[d, i] = max(old[0], sum(same)), len(want), min(old[2], max(offset, 0))
+    return out
+
+
+def test_decontamination_against_all_places(spark):
+    rng = random.Random(21)
+    few = ["red", "blue", "old", "sea", "sky"]
+    items = [(n, " ".join(rng.choice(few) for _ in range(n))) for n in (1, 2, 3, 4, 5, 6, 7, 9, 11, 12, 13, 30)]
+    items += [(40, "one " * 30), (41, "one"), (42, "never said here"), (43, " .. "), (44, None)]
+    texts = [(n, " ".join(rng.choice(few) for _ in range(n))) for n in (1, 2, 3, 5, 8, 20, 60, 200)]
+    texts += [(300, "one " * 400), (301, "one " * 27 + "two one"), (302, items[11][1]), (303, items[8][1] + " x"), (304, ""), (305, None)]
+    texts += [(306, items[11][1].replace("red", "rot")), (307, "Never, said HERE!"), (308, "never said")]
+    got = decontamination.leaks(spark.createDataFrame(texts, "doc_id bigint, text string"), spark.createDataFrame(items, "item_id bigint, text string"))
+    found = {(r.doc_id, r.item_id): (r.matched_words, r.item_words, r.doc_from) for r in got.collect()}
+    want = plain_leaks(texts, items)
+    assert found.keys() == want.keys() and (307, 42) in found and (308, 42) not in found and (300, 40) in found
+    # Alignments that no mask meets may lie elsewhere than the best; lengths are those of the item.
+    assert all(found[k][1] == want[k][1] and found[k][0] <= want[k][0] and found[k][2] >= want[k][2] for k in want)
+
+
 def test_clean_texts_stay_beside_leaks_of_their_id(spark):
     rng = random.Random(9)
     item = prose(rng, 20)
