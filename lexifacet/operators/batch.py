@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from typing import NamedTuple
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -17,23 +18,45 @@ from ..sources.collection import Collection
 from ..sources.literal import small_table
 from ..sources.storage import ensure_checkpoint_dir
 from .filters import is_multi
+from .order import order_keys, with_tie_break
 
 
 #: Query words that may be broadcast.
 TOKENS_SENT = 1_000_000
 
 
-def facets(found: DataFrame, id: str, wanted: Sequence[tuple[str, str]]) -> DataFrame:
-    """Several group-bys over one match frame:
-    (query_no, group_key, group_count, best id, its weight).
+class Facet(NamedTuple):
+    """One facet of a batch: what it groups by, and if wanted the order of its groups (keys ``@group``,
+    ``@count``, ``@weight``, ``@distinct``, ``@id``), how many it shows, and an attribute whose
+    distinct values it counts."""
+
+    attr: str
+    func: str = "attr"
+    sort: str | None = None
+    limit: int | None = None
+    distinct: str | None = None
+
+
+def facets(found: DataFrame, id: str, wanted: Sequence[tuple]) -> DataFrame:
+    """Several group-bys over one match frame, each a :class:`Facet` or its first values:
+    (query_no, group_key, group_count, best id, its weight), with ``group_distinct`` where a facet
+    counts distinct values and ``place`` where one has an order or a limit (null for others).
 
     Every match turns into one row per facet before a single partial aggregation
-    and a single exchange, so matching and ranking happen once and nothing is cached.
+    and a single exchange, so matching and ranking happen once and nothing is cached. Keys are shown as
+    text and ordered as what they are. A limit is applied in every task before groups meet; an order
+    without a limit numbers all groups of its facet in one task.
     """
+    wanted = [Facet(*w) for w in wanted]
+    for w in wanted:
+        if w.limit is not None and (isinstance(w.limit, bool) or not isinstance(w.limit, int) or w.limit < 1):
+            raise ValueError("the limit of a facet must be an integer of at least 1")
 
     def rows_of(n: int, attr: str, func: str) -> Column:
         def row(key: Column) -> Column:
-            return F.struct(F.lit(n).alias("query_no"), key.cast("string").alias("group_key"))
+            distinct = wanted[n].distinct
+            value = [(F.col(distinct).cast("string") if distinct else F.lit(None).cast("string")).alias("_value")] if counted else []
+            return F.struct(F.lit(n).alias("query_no"), key.cast("string").alias("group_key"), *value)
 
         if func in CALENDAR_UNITS:
             return F.array(row(calendar_key(F.col(attr), func)))
@@ -43,11 +66,50 @@ def facets(found: DataFrame, id: str, wanted: Sequence[tuple[str, str]]) -> Data
             return F.transform(attr, row)
         return F.array(row(F.col(attr)))
 
-    rows = [rows_of(n, attr, func) for n, (attr, func) in enumerate(wanted)]
+    counted = any(w.distinct for w in wanted)
+    rows = [rows_of(n, w.attr, w.func) for n, w in enumerate(wanted)]
     tall = found.select(id, "weight", F.inline(F.concat(*rows) if len(rows) > 1 else rows[0]))
     best = F.min_by(F.struct(id, "weight"), F.struct(-F.col("weight"), F.col(id))).alias("_best")
-    grouped = tall.groupBy("query_no", "group_key").agg(F.count(F.lit(1)).alias("group_count"), best)
-    return grouped.select("query_no", "group_key", "group_count", f"_best.{id}", "_best.weight")
+    counts = [F.count(F.lit(1)).alias("group_count")]
+    if counted:
+        of = [n for n, w in enumerate(wanted) if w.distinct]
+        distinct = F.count_distinct("_value")
+        counts.append(F.when(F.col("query_no").isin(of), distinct).alias("group_distinct"))
+    grouped = tall.groupBy("query_no", "group_key").agg(*counts, best)
+    extra = ["group_distinct"] if counted else []
+    grouped = grouped.select("query_no", "group_key", "group_count", f"_best.{id}", "_best.weight", *extra)
+    if all(w.sort is None and w.limit is None for w in wanted):
+        return grouped
+    return _placed(grouped, found.schema, id, wanted)
+
+
+def _placed(grouped: DataFrame, schema, id: str, wanted: Sequence[Facet]) -> DataFrame:
+    """Groups with their ``place`` in the order of their facet, up to its limit."""
+    order, free, limits = [], [], {}
+    for n, w in enumerate(wanted):
+        if w.sort is None and w.limit is None:
+            free.append(n)
+            continue
+        limits[n] = w.limit
+        kind = "int" if w.func in CALENDAR_UNITS else schema[w.attr].dataType
+        kind = getattr(kind, "elementType", kind)
+        for name, ascending in with_tie_break(order_keys(w.sort or "@group desc", id), "group_key"):
+            if name not in grouped.columns:
+                raise ValueError(f"a facet has nothing to sort by called {name}")
+            key = F.col(name).cast(kind) if name == "group_key" else F.col(name)
+            # Only the rows of this facet have a value here.
+            key = F.when(F.col("query_no") == n, key)
+            order.append(key.asc() if ascending else key.desc())
+    # A facet without order has a partition per group.
+    alone = F.when(F.col("query_no").isin(free), F.struct("group_key")) if free else F.lit(None).cast("string")
+    place = F.row_number().over(W.partitionBy("query_no", alone).orderBy(*order))
+    placed = grouped.withColumn("place", place)
+    if None not in limits.values():
+        placed = placed.filter(F.col("place") <= max(limits.values()))
+    for n, limit in limits.items():
+        if limit is not None:
+            placed = placed.filter((F.col("query_no") != n) | (F.col("place") <= limit))
+    return placed.withColumn("place", F.when(F.col("query_no").isin(list(limits)), F.col("place")))
 
 
 def search_table(

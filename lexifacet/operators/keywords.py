@@ -68,11 +68,12 @@ def word_stats(collection: Collection, words: Sequence[str | Word]) -> DataFrame
 def keyword_stats(collection: Collection, wanted: DataFrame) -> DataFrame:
     """(word, docs, hits) for a table of words of any size.
 
-    The vocabulary is aggregated first, so the join meets one row per token even
-    where one token makes up a third of all text.
+    Documents leave out what is not asked before anything is counted, and tokens are counted
+    before the join, which so meets one row per token even where one token makes up a third
+    of all text.
     """
     asked = wanted.select(F.col("word")).distinct()
-    table = collection.terms().withColumnRenamed("token", "word")
+    table = collection.terms_of(asked.select(F.col("word").alias("token"))).withColumnRenamed("token", "word")
     joined = asked.join(table, "word", "left")
     return joined.select("word", F.coalesce("docs", F.lit(0)).alias("docs"), F.coalesce("hits", F.lit(0)).alias("hits"))
 

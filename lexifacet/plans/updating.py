@@ -90,6 +90,32 @@ def batch_facets(spark, sf_dir):
     return B.facets(found, "doc_id", [("lang", "attr"), ("source", "attr"), ("tags", "attr")])
 
 
+@query(
+    "batch_facets_sorted",
+    f"""WITH {S.found(['the', 'of'])},
+r AS (SELECT f.doc_id, f.weight, d.lang, d.source, d.tags FROM f JOIN docs d ON d.doc_id = f.doc_id),
+k AS (
+  SELECT 0 AS query_no, lang AS group_key, doc_id, weight, source AS v FROM r
+  UNION ALL SELECT 1, source, doc_id, weight, NULL FROM r
+  UNION ALL SELECT 2, unnest(tags)::VARCHAR, doc_id, weight, NULL FROM r),
+g AS (
+  SELECT query_no, group_key, count(*) AS group_count, arg_min(doc_id, doc_id - weight * 10000000) AS doc_id,
+         max(weight) AS weight, CASE WHEN query_no = 0 THEN count(DISTINCT v) ELSE 0 END AS group_distinct
+  FROM k GROUP BY 1, 2),
+p AS (
+  SELECT 0 AS query_no, group_key, row_number() OVER (ORDER BY group_count DESC, group_key) AS place FROM g WHERE query_no = 0
+  UNION ALL SELECT 2, group_key, row_number() OVER (ORDER BY group_key::BIGINT DESC) FROM g WHERE query_no = 2)
+SELECT g.*, coalesce(p.place, 0)::BIGINT AS place FROM g LEFT JOIN p ON p.query_no = g.query_no AND p.group_key IS NOT DISTINCT FROM g.group_key
+WHERE g.query_no = 1 OR (g.query_no = 0 AND p.place <= 3) OR (g.query_no = 2 AND p.place <= 5)""",
+)
+def batch_facets_sorted(spark, sf_dir):
+    """Each facet with an order, a limit and a distinct count of its own, in one pass."""
+    found = Search.over(documents(spark, sf_dir)).match("the of").found()
+    wanted = [B.Facet("lang", sort="@count desc", limit=3, distinct="source"), B.Facet("source"), B.Facet("tags", limit=5)]
+    shown = B.facets(found, "doc_id", wanted)
+    return shown.withColumns({c: F.coalesce(c, F.lit(0)).cast("bigint") for c in ("group_distinct", "place")})
+
+
 @query(
     "batch_shared",
     f"""WITH {S.found(['the', 'of'])},

@@ -69,6 +69,31 @@ class Lexicon:
         return forms_of(word, self.wordforms)
 
 
+#: Words of 64 bits in a table of marks (32 kB).
+MARK_WORDS = 4096
+
+
+def _mark(token: Column) -> Column:
+    return F.pmod(F.xxhash64(token), F.lit(64 * MARK_WORDS))
+
+
+def marks(asked: DataFrame) -> DataFrame:
+    """One row, one array of ``MARK_WORDS`` longs: a bit for each token of ``asked`` (token)."""
+    at = _mark(F.col("token"))
+    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), at.bitwiseAND(F.lit(63)).cast("int"))
+    found = asked.select(F.shiftright(at, 6).alias("id"), bit.alias("bit"))
+    found = found.groupBy("id").agg(F.bit_or("bit").alias("bits"))
+    every = asked.sparkSession.range(0, MARK_WORDS, 1, 1).join(found, "id", "left")
+    row = F.struct("id", F.coalesce("bits", F.lit(0).cast("bigint")).alias("bits"))
+    return every.agg(F.sort_array(F.collect_list(row))["bits"].alias("marks"))
+
+
+def is_marked(marks: Column, token: Column) -> Column:
+    """Whether the token's bit is set."""
+    at = _mark(token)
+    return F.getbit(F.get(marks, F.shiftright(at, 6).cast("int")), at.bitwiseAND(F.lit(63)).cast("int")) == 1
+
+
 @dataclass(frozen=True)
 class Collection:
     """Rows with one id column, ordered text fields and attributes.
@@ -202,6 +227,18 @@ class Collection:
         rows = self.df.select(F.inline(counts))
         return rows.groupBy("token").agg(F.count(F.lit(1)).alias("docs"), F.sum("hits").alias("hits"))
 
+    def terms_of(self, asked: DataFrame) -> DataFrame:
+        """(token, docs, hits) of the tokens in ``asked`` (token), and of few others.
+
+        Each document tests its tokens against the bits of the asked ones, so no others are
+        counted and exchanged but those that share a bit. The bits have a fixed size; with very many
+        tokens asked they are all set and let every token through.
+        """
+        marked = self.df.withColumn("_marks", marks(asked).scalar())
+        counts = H.term_counts(F.filter(self.all_tokens(), lambda token: is_marked(F.col("_marks"), token)))
+        rows = marked.select(F.inline(counts))
+        return rows.groupBy("token").agg(F.count(F.lit(1)).alias("docs"), F.sum("hits").alias("hits"))
+
     def document_words(self) -> DataFrame:
         """(id, token): the words of each document; a word of two fields may be listed twice."""
         return self.df.select(self.id, F.explode(F.array_distinct(self.all_tokens())).alias("token"))

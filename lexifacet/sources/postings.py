@@ -169,6 +169,10 @@ class IndexedCollection(Collection):
             return self.table("terms").drop("bucket")
         return self.of_words("terms", test)
 
+    def terms_of(self, asked: DataFrame) -> DataFrame:
+        """The written vocabulary has one row per token already."""
+        return self.terms().join(asked, "token", "left_semi")
+
     def document_words(self) -> DataFrame:
         return self.table("postings").select(self.id, "token")
 

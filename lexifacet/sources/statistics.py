@@ -116,6 +116,10 @@ class CountedCollection(Collection):
         df = df.where(F.col("bucket").isin([bucket_of(F.lit(w), self.buckets) for w in forms]))
         return df.where(F.col("token").isin(forms))
 
+    def terms_of(self, asked: DataFrame) -> DataFrame:
+        """The written vocabulary has one row per token already."""
+        return self.terms().join(asked, "token", "left_semi")
+
     def terms(self, test: H.WordTest | None = None) -> DataFrame:
         rows = self._of(None if test is None else test.forms)
         rows = rows if test is None else rows.where(test(F.col("token")))
