@@ -2,15 +2,16 @@
 
 A text is cut into windows of ``WINDOW`` words. Each window is compressed with two
 zstandard dictionaries, one made of ordinary and one of toxic text; how many bytes the toxic one saves
-is the window's gain. Both dictionaries hold the same ordinary text, so a gain
-speaks of what is particular to toxic text. A logistic curve, calibrated on labelled
+is the window's gain. The toxic dictionary is made of stretches of toxic documents, the ordinary
+one of windows of ordinary documents; as most of a toxic text is ordinary, the ordinary windows stand at the end of
+both, so a gain speaks of what is particular to toxic text. A logistic curve, calibrated on labelled
 documents, turns the number of windows above each of some thresholds and the largest gain
 into a score from 0 to 1. All windows of a text count, however long it is.
 
 The dictionaries and the curve are fitted on a bounded sample of labelled rows
 (``TOXIC_ROWS`` and ``ORDINARY_ROWS``, chosen by a hash of the id among all labelled
-rows outside the held-out fold); every document is scored. Window, level, dictionary
-sizes and segment rules were chosen by cross-validated log loss over the four other folds.
+ids outside the held-out fold, one text of each id); every document is scored. Window, level, dictionary
+sizes and the rules of stretches were chosen by cross-validation over the four other folds.
 
 Nulls: a null or empty text has no windows and the score of a text without gains. A null doc_id is
 held out. Documents labelled more than once count as toxic if any label says so; null
@@ -20,6 +21,7 @@ have equal scores.
 
 from __future__ import annotations
 
+import heapq
 import math
 import random
 from collections import Counter
@@ -35,16 +37,18 @@ from pyspark.sql.types import DoubleType
 
 from .common import fold, tokens_of
 
-WINDOW = 8
+WINDOW = 6
 TOXIC_ROWS = 1500
 ORDINARY_ROWS = 3000
-#: Bytes of ordinary text in both dictionaries, and of toxic segments.
+#: Bytes of ordinary windows in both dictionaries, and of toxic stretches.
 BACKGROUND = 49152
-OWN = 512
-#: Lengths of word beginnings, the least toxic documents that have a segment, and how much more often at least.
-SEGMENTS = (6, 7, 8, 9)
+OWN = 1536
+#: Words of a stretch, bytes of the strings that rate it, and how many toxic documents such a
+#: string must be in and how much more often than in ordinary ones.
+STRETCH = 2
+GRAM = 8
 LEAST_TOXIC = 3
-LEAST_RATIO = 8.0
+LEAST_RATIO = 4.0
 #: Gains in bytes at which windows are counted.
 THRESHOLDS = (1, 2, 3, 4, 6)
 LEVEL = 12
@@ -80,45 +84,60 @@ def features(gains: np.ndarray) -> list[float]:
     return [math.log1p(x) for x in over] + [x / n for x in over] + [float(gains.max()) if len(gains) else 0.0]
 
 
-def segments(text: str | None) -> set[bytes]:
-    """A text's distinct words and their beginnings, with the space before."""
-    out = set()
-    for word in set(tokens_of(text)):
-        spaced = b" " + word
-        out.update(spaced[:k] for k in SEGMENTS if k <= len(spaced))
-        out.add(spaced + b" ")
-    return out
+def grams(data: bytes, size: int = GRAM) -> set[bytes]:
+    """The distinct byte strings of one size within ``data``."""
+    return {data[i : i + size] for i in range(len(data) - size + 1)}
 
 
-def dictionaries(texts: list[str], marks: list[int], seed: int = 1) -> tuple[bytes, bytes]:
-    """The contents of the ordinary and of the toxic dictionary, of one length.
+def stretches(text: str | None, size: int = STRETCH) -> set[bytes]:
+    """All runs of ``size`` words of a text (all its words, if it has fewer), between spaces."""
+    tokens = tokens_of(text)
+    return {b" " + b" ".join(tokens[i : i + size]) + b" " for i in range(max(1, len(tokens) - size + 1))} if tokens else set()
+
+
+def toxic_stretches(texts: list[str], marks: list[int], size: int = OWN) -> list[bytes]:
+    """Stretches of toxic texts, of ``size`` bytes together at most, the most telling first.
 
-    The ordinary one takes windows of ordinary documents. The toxic one has them as well, at
-    the same place, so that their matches cost the same, and before them the segments
-    that most set toxic documents apart, by document counts. A segment that contains a
-    stronger one at its start, or lies within one, adds nothing and is left out.
+    A byte string that more toxic documents hold than ordinary ones weighs its number of toxic documents
+    times the log ratio of both shares. The stretch with most weight a byte is taken, what
+    it holds weighs nothing from then on, and so forth: a dictionary builder's covering
+    of frequent strings, with contrast in place of frequency.
     """
     counts = {0: Counter(), 1: Counter()}
     for text, mark in zip(texts, marks):
-        counts[mark].update(segments(text))
+        counts[mark].update(grams(b" " + b" ".join(tokens_of(text)) + b" "))
     n = {mark: marks.count(mark) for mark in (0, 1)}
+    weight = {}
+    for gram, c in counts[1].items():
+        toxic, ordinary = (c + 0.5) / (n[1] + 1), (counts[0][gram] + 0.5) / (n[0] + 1)
+        if c >= LEAST_TOXIC and toxic >= LEAST_RATIO * ordinary:
+            weight[gram] = c * math.log(toxic / ordinary)
+
+    def worth(stretch: bytes) -> float:
+        return sum(weight.get(g, 0.0) for g in sorted(grams(stretch))) / len(stretch)
+
+    every = set().union(*(stretches(t) for t, y in zip(texts, marks) if y == 1))
+    heap = [(-w, s) for s in every if (w := worth(s)) > 0]
+    heapq.heapify(heap)
+    chosen, held = [], 0
+    while heap:
+        old, stretch = heapq.heappop(heap)
+        now = worth(stretch)
+        if now > 0 and now < -old:
+            heapq.heappush(heap, (-now, stretch))
+        elif now > 0 and held + len(stretch) <= size:
+            chosen.append(stretch)
+            held += len(stretch)
+            for gram in grams(stretch):
+                weight.pop(gram, None)
+    return chosen
 
-    def weight(part: bytes) -> float:
-        share = [(counts[m][part] + 0.5) / (n[m] + 1) for m in (0, 1)]
-        return counts[1][part] * math.log(share[1] / share[0])
-
-    strong = sorted((p for p, c in counts[1].items() if c >= LEAST_TOXIC), key=lambda p: (-weight(p), p))
-    chosen: list[bytes] = []
-    held = 0
-    for part in strong:
-        share = [(counts[m][part] + 0.5) / (n[m] + 1) for m in (0, 1)]
-        if share[1] < LEAST_RATIO * share[0] or any(part in c or part.startswith(c) for c in chosen):
-            continue
-        if held + len(part) > OWN:
-            break
-        chosen.append(part)
-        held += len(part)
-    toxic = b"".join(reversed(chosen)).rjust(OWN)
+
+def dictionaries(texts: list[str], marks: list[int], seed: int = 1) -> tuple[bytes, bytes]:
+    """The contents of the ordinary and of the toxic dictionary, of one length: ordinary windows in
+    both, at the same place, so that their matches cost the same, and toxic stretches before
+    them in the toxic one, the most telling last."""
+    toxic = b"".join(reversed(toxic_stretches(texts, marks))).rjust(OWN)
     rng = random.Random(seed)
     plain = [w for t, y in zip(texts, marks) if y == 0 for w in windows(t)]
     rng.shuffle(plain)
@@ -170,9 +189,12 @@ def train(docs: DataFrame, labels: DataFrame) -> dict | None:
         wanted |= (F.col("mark") == mark) & (chance < int(share * (1 << 30)))
     # About TOXIC_ROWS + ORDINARY_ROWS rows of two numbers.
     chosen = F.broadcast(marked.where(wanted))
-    rows = docs.select("doc_id", "text").join(chosen, "doc_id").select("doc_id", "mark", "text").collect()
-    rows = sorted(rows, key=lambda r: (r.doc_id, r.text or ""))
-    return fit([r.text or "" for r in rows], [int(r.mark) for r in rows], counts)
+    # One text of each id, however many rows it has: the one of the smallest hash.
+    text = F.coalesce("text", F.lit(""))
+    one = F.min(F.struct(F.xxhash64(text).alias("hash"), text.alias("text"))).alias("one")
+    rows = docs.select("doc_id", "text").join(chosen, "doc_id").groupBy("doc_id", "mark").agg(one).collect()
+    rows = sorted(rows, key=lambda r: r.doc_id)
+    return fit([r.one.text for r in rows], [int(r.mark) for r in rows], counts)
 
 
 def scored(docs: DataFrame, model: dict | None, column: str = "score") -> DataFrame:

@@ -326,6 +326,41 @@ def test_toxicity(spark, none):
     assert toxicity.without_toxic(docs, marks).columns == docs.columns
 
 
+def test_toxic_dictionary_is_toxic_text():
+    rng = random.Random(8)
+    texts, marks = [], []
+    for i in range(200):
+        words = prose(rng, 40).split()
+        if i % 4 == 0:
+            words.insert(rng.randrange(len(words)), rng.choice(["blockhead", "dimwit"]))
+        texts.append(" ".join(words) if i % 50 else None)
+        marks.append(int(i % 4 == 0))
+    chosen = toxicity.toxic_stretches(texts, marks)
+    toxic, plain = ([" " + t + " " for t, y in zip(texts, marks) if t and y == mark] for mark in (1, 0))
+    assert chosen and all(any(s.decode() in t for t in toxic) for s in chosen)
+    assert all(b"blockhead" in s or b"dimwit" in s for s in chosen[:2]) and sum(map(len, chosen)) <= toxicity.OWN
+    ordinary, own = toxicity.dictionaries(texts, marks)
+    assert len(ordinary) == len(own) and ordinary[toxicity.OWN :] == own[toxicity.OWN :]
+    assert own[: toxicity.OWN].lstrip() == b"".join(reversed(chosen)).lstrip()
+    windows = ordinary[toxicity.OWN :].split(b"  ")[:-1]
+    assert all(any(w.decode().strip() in t for t in plain) for w in windows)
+    assert toxicity.toxic_stretches(["a b", None], [0, 1]) == [] and toxicity.toxic_stretches([], []) == []
+
+
+def test_toxicity_of_very_long_texts_and_of_an_id_with_many_texts(spark):
+    rng = random.Random(9)
+    rows = [(i, prose(rng, 30) + (" you blockhead" * 2 if i % 3 == 0 else ""), None, None, None, 0, 0, 0) for i in range(90)]
+    long = prose(rng, 60_000).split()
+    rows += [(200, " ".join(long), None, None, None, 0, 0, 0), (201, " ".join(long + ["blockhead"]), None, None, None, 0, 0, 0)]
+    rows += [(3, prose(rng, 5), None, None, None, 0, 0, 0) for _ in range(60)]
+    docs, marks = spark.createDataFrame(rows, SCHEMA), spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(90)], "doc_id bigint, toxic int")
+    got = toxicity.score_documents(docs, marks).collect()
+    score = {r.doc_id: r.score for r in got if r.doc_id >= 200}
+    assert len(got) == len(rows) and all(0 <= s <= 1 for s in score.values()) and score[200] != score[201]
+    every = toxicity.windows(rows[91][1])
+    assert b" blockhead " in every[-1] and sum(len(w.split()) for w in every) == 60_001
+
+
 def test_extraction(spark):
     rng = random.Random(2)
     lines = [[prose(rng, rng.randint(5, 40)) for _ in range(rng.randint(2, 8))] for _ in range(60)]
