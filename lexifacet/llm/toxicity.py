@@ -24,7 +24,6 @@ from __future__ import annotations
 import heapq
 import math
 import random
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -46,7 +45,7 @@ OWN = 1536
 #: Words of a stretch, bytes of the strings that rate it, and how many toxic documents such a
 #: string must be in and how much more often than in ordinary ones.
 STRETCH = 2
-GRAM = 8
+GRAM = 8  # a number of 64 bits
 LEAST_TOXIC = 3
 LEAST_RATIO = 4.0
 #: Gains in bytes at which windows are counted.
@@ -84,9 +83,36 @@ def features(gains: np.ndarray) -> list[float]:
     return [math.log1p(x) for x in over] + [x / n for x in over] + [float(gains.max()) if len(gains) else 0.0]
 
 
-def grams(data: bytes, size: int = GRAM) -> set[bytes]:
-    """The distinct byte strings of one size within ``data``."""
-    return {data[i : i + size] for i in range(len(data) - size + 1)}
+def grams(data: bytes) -> set[bytes]:
+    """The distinct strings of ``GRAM`` bytes within ``data``."""
+    return {data[i : i + GRAM] for i in range(len(data) - GRAM + 1)}
+
+
+def numbers(text: str | None) -> np.ndarray:
+    """The same strings of a whole text, in order, each as a number of 64 bits."""
+    data = b" " + b" ".join(tokens_of(text)) + b" "
+    if len(data) < GRAM:
+        return np.zeros(0, dtype=np.uint64)
+    runs = np.lib.stride_tricks.sliding_window_view(np.frombuffer(data, dtype=np.uint8), GRAM)
+    return np.unique(np.ascontiguousarray(runs).view(np.uint64))
+
+
+def gram_weights(texts: list[str], marks: list[int]) -> dict[bytes, float]:
+    """Byte strings that set toxic texts apart, with their weights."""
+    n = {mark: marks.count(mark) for mark in (0, 1)}
+    held = [numbers(t) for t, y in zip(texts, marks) if y == 1]
+    found, toxic = np.unique(np.concatenate(held or [np.zeros(0, dtype=np.uint64)]), return_counts=True)
+    found, toxic = found[toxic >= LEAST_TOXIC], toxic[toxic >= LEAST_TOXIC]
+    ordinary = np.zeros(len(found), dtype=np.int64)
+    for text, mark in zip(texts, marks):
+        if mark == 0:
+            ordinary += np.isin(found, numbers(text), assume_unique=True)
+    out = {}
+    for gram, c, other in zip(found, toxic.tolist(), ordinary.tolist()):
+        shares = (c + 0.5) / (n[1] + 1), (other + 0.5) / (n[0] + 1)
+        if shares[0] >= LEAST_RATIO * shares[1]:
+            out[gram.tobytes()] = c * math.log(shares[0] / shares[1])
+    return out
 
 
 def stretches(text: str | None, size: int = STRETCH) -> set[bytes]:
@@ -103,21 +129,13 @@ def toxic_stretches(texts: list[str], marks: list[int], size: int = OWN) -> list
     it holds weighs nothing from then on, and so forth: a dictionary builder's covering
     of frequent strings, with contrast in place of frequency.
     """
-    counts = {0: Counter(), 1: Counter()}
-    for text, mark in zip(texts, marks):
-        counts[mark].update(grams(b" " + b" ".join(tokens_of(text)) + b" "))
-    n = {mark: marks.count(mark) for mark in (0, 1)}
-    weight = {}
-    for gram, c in counts[1].items():
-        toxic, ordinary = (c + 0.5) / (n[1] + 1), (counts[0][gram] + 0.5) / (n[0] + 1)
-        if c >= LEAST_TOXIC and toxic >= LEAST_RATIO * ordinary:
-            weight[gram] = c * math.log(toxic / ordinary)
+    weight = gram_weights(texts, marks)
 
     def worth(stretch: bytes) -> float:
         return sum(weight.get(g, 0.0) for g in sorted(grams(stretch))) / len(stretch)
 
-    every = set().union(*(stretches(t) for t, y in zip(texts, marks) if y == 1))
-    heap = [(-w, s) for s in every if (w := worth(s)) > 0]
+    first = {s: w for t, y in zip(texts, marks) if y == 1 for s in stretches(t) if (w := worth(s)) > 0}
+    heap = [(-w, s) for s, w in first.items()]
     heapq.heapify(heap)
     chosen, held = [], 0
     while heap:
