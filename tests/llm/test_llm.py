@@ -351,7 +351,7 @@ def test_weights_of_byte_strings_equal_counting_them():
     rng = random.Random(10)
     texts = [prose(rng, rng.randint(0, 12)) + rng.choice(["", " dimwit", " É dimwits"] if i % 2 else ["", " É di"]) for i in range(60)] + [None, "", "a"]
     marks = [i % 2 for i in range(len(texts))]
-    counts = {m: Counter(g for t, y in zip(texts, marks) if y == m for g in toxicity.grams(b" " + b" ".join((t or "").lower().encode().split()) + b" ")) for m in (0, 1)}
+    counts = {m: Counter(g for t, y in zip(texts, marks) if y == m for g in toxicity.grams(b" " + b" ".join((t or "").encode().lower().split()) + b" ")) for m in (0, 1)}
     want = {}
     for g, c in counts[1].items():
         shares = (c + 0.5) / (marks.count(1) + 1), (counts[0][g] + 0.5) / (marks.count(0) + 1)
