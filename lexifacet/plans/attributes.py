@@ -7,6 +7,8 @@ import math
 from pyspark.sql import functions as F
 
 from ..search import Search
+from ..sources.cells import nearest, within, write_cells
+from ..sources.storage import new_folder
 from . import sql as S
 from .registry import query
 from .tables import documents, orders, places, products, table
@@ -226,6 +228,30 @@ def geo_nearest(spark, sf_dir):
     return page.select("c_custkey", F.col("metres").alias("geodist"))
 
 
+def placed(spark, sf_dir):
+    """Places written by cells."""
+    return write_cells(places(spark, sf_dir).df, new_folder(spark, "cells"), "lat", "lon")
+
+
+@query(
+    "geo_radius_cells",
+    f"WITH {GEO} SELECT c_custkey, round(dist, 3) AS geodist FROM geo WHERE dist BETWEEN 0 AND 3000000",
+)
+def geo_radius_cells(spark, sf_dir):
+    found = within(placed(spark, sf_dir), "lat", "lon", *ANCHOR, 3_000_000.0)
+    return found.select("c_custkey", F.round("geodist", 3).alias("geodist"))
+
+
+@query(
+    "geo_nearest_cells",
+    f"WITH {GEO} SELECT c_custkey, round(dist, 3) AS geodist FROM geo ORDER BY round(dist, 3), c_custkey LIMIT 25",
+)
+def geo_nearest_cells(spark, sf_dir):
+    order = [F.round("geodist", 3), F.col("c_custkey")]
+    page = nearest(placed(spark, sf_dir), "lat", "lon", *ANCHOR, 25, order)
+    return page.select("c_custkey", F.round("geodist", 3).alias("geodist"))
+
+
 @query(
     "override_attr",
     """SELECT d.doc_id, CASE WHEN l.doc_id IS NULL THEN d.n_chars ELSE l.quality * 10000 + l.toxic END::BIGINT AS n_chars
