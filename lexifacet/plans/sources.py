@@ -10,7 +10,7 @@ from ..operators.updates import update_attributes
 from ..search import Search
 from ..sources import collection as C
 from ..sources.catalog import hydrate as hydrate_page
-from ..sources.documents import read_files, read_xml
+from ..sources.documents import read_files, read_xml, split_file, write_files
 from ..sources.postings import open_postings, write_postings
 from ..sources.segments import add_documents, compact, create_segments, delete_documents, open_segments
 from ..sources.storage import new_folder, persist_attributes
@@ -54,13 +54,10 @@ def src_files(spark, sf_dir):
     """Pages written as one file each, then read back as whole-file documents."""
     folder = new_folder(spark, "files")
     pages = table(spark, sf_dir, "pages").select("page_id", "html")
-    pages.repartition("page_id").write.partitionBy("page_id").option("lineSep", "\x00").text(folder)
-    files = read_files(spark, folder)
-    text = F.regexp_replace("text", "\x00", "")
-    return files.select(
-        F.regexp_extract("path", r"page_id=(\d+)/", 1).cast("long").alias("page_id"),
-        F.size(T.tokenize(text)).alias("n_tokens"),
-        F.md5(text).alias("digest"),
+    write_files(pages.repartition("page_id"), "page_id", "html", folder)
+    id, html = split_file("text")
+    return read_files(spark, folder).select(
+        id.try_cast("long").alias("page_id"), F.size(T.tokenize(html)).alias("n_tokens"), F.md5(html).alias("digest")
     )
 
 
