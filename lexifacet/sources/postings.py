@@ -3,7 +3,7 @@
 A search then reads only the partitions of its own words instead of all texts.
 Three plain Parquet tables under one path:
 
-``postings``  bucket | token, id, field, positions  one row per word of a document field
+``postings``  bucket | token, id, field, positions, first  one row per word of a document field
 ``docs``      id, attributes, _len_i                attributes and field lengths
 ``terms``     bucket | token, docs, hits            collection-wide word statistics
 
@@ -15,11 +15,15 @@ documents ends up in many files written by many tasks.
 from __future__ import annotations
 
 import json
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, fields
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BooleanType, IntegerType, StringType, StructField, StructType
 
 from ..functions import hits as H
 from ..functions import text as T
@@ -29,70 +33,108 @@ from .literal import small_table
 
 
 #: Layout of the written tables.
-FORMAT = 1
-
-
-def token_positions(tokens: Column) -> Column:
-    """``array<struct<token, positions>>`` of one field: sorted, then cut into runs."""
-
-    def cut(rows: Column) -> Column:
-        starts = F.filter(
-            F.transform(
-                rows, lambda r, i: F.when((i == 0) | (r["w"] != F.get(rows, i - 1)["w"]), i)
-            ),
-            lambda i: i.isNotNull(),
-        )
-
-        def runs(at: Column) -> Column:
-            def run(i: Column, k: Column) -> Column:
-                size = F.coalesce(F.get(at, k + 1), F.size(rows)) - i
-                return F.struct(
-                    F.get(rows, i)["w"].alias("token"),
-                    F.transform(F.slice(rows, i + 1, size), lambda r: r["p"]).alias("positions"),
-                )
-
-            return F.transform(at, run)
-
-        return T.let(starts, runs)
-
-    placed = F.transform(tokens, lambda w, i: F.struct(w.alias("w"), i.alias("p")))
-    return T.let(F.sort_array(placed), cut)
+FORMAT = 2
+
+
+#: Tokens sorted at a time (a longer document counts as one), and rows of a word handed back to Spark at a time.
+SORTED_TOKENS, OUT_ROWS = 1_000_000, 100_000
+
+
+def _pieces(batch: pa.RecordBatch) -> Iterator[tuple[pa.Array, list[pa.Array]]]:
+    """Ids and token lists of runs of documents that have few enough tokens together."""
+    ids, *fields = batch.columns
+    upto = np.cumsum(sum(pc.fill_null(pc.list_value_length(f), 0).to_numpy(zero_copy_only=False) for f in fields), dtype=np.int64)
+    at = 0
+    while at < len(ids):
+        done = upto[at - 1] if at else 0
+        end = max(at + 1, int(np.searchsorted(upto, done + SORTED_TOKENS, side="right")))
+        yield ids.slice(at, end - at), [f.slice(at, end - at) for f in fields]
+        at = end
+
+
+def _cut(batches: Iterator[pa.RecordBatch], id: str) -> Iterator[pa.RecordBatch]:
+    """Rows (id, tokens of each field) to rows (token, places), a place being (id, field, positions, first): the tokens
+    as numbers, sorted by word, document and field, and cut where one of them changes. The sort is stable, so
+    positions ascend."""
+    for ids, fields in (piece for batch in batches for piece in _pieces(batch)):
+        flat = pa.concat_arrays([f.flatten() for f in fields])
+        if not len(flat):
+            continue
+        docs, at = [], []
+        for f in fields:
+            sizes = pc.fill_null(pc.list_value_length(f), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+            docs.append(np.repeat(np.arange(len(ids)), sizes))
+            at.append(np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes))
+        field = np.repeat(np.arange(len(fields)), [len(d) for d in docs])
+        doc, at = np.concatenate(docs), np.concatenate(at).astype(np.int32)
+        words = flat.dictionary_encode()
+        code = words.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+        key = (code * len(ids) + doc) * len(fields) + field
+        order = np.argsort(key, kind="stable")
+        key, at = key[order], at[order]
+        starts = np.flatnonzero(np.diff(key, prepend=-1))
+        ends = np.append(starts[1:], len(key))
+        rows, code = order[starts], code[order[starts]]
+        first = np.diff(key[starts] // len(fields), prepend=-1) != 0
+        for low in range(0, len(starts), OUT_ROWS):
+            high = min(low + OUT_ROWS, len(starts))
+            offsets = np.append(starts[low:high], ends[high - 1]) - starts[low]
+            positions = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(at[starts[low] : ends[high - 1]]))
+            some = rows[low:high]
+            columns = [ids.take(pa.array(doc[some])), pa.array(field[some], pa.int32()), positions, pa.array(first[low:high])]
+            cuts = np.flatnonzero(np.diff(code[low:high], prepend=-1))
+            tokens = words.dictionary.take(pa.array(code[low + cuts]))
+            places = pa.StructArray.from_arrays(columns, [id, "field", "positions", "first"])
+            places = pa.ListArray.from_arrays(pa.array(np.append(cuts, high - low), pa.int32()), places)
+            yield pa.RecordBatch.from_arrays([tokens, places], ["token", "places"])
 
 
 def field_postings(collection: Collection) -> DataFrame:
-    """(id, field, token, positions) with the field as its number."""
+    """(token, places): the places (id, field, positions, first) of a word in some documents that were read together,
+    with the field as its number. ``first`` is true in the first field of a document that has the word, so documents of a
+    word are a plain count."""
+    id = collection.df.schema[collection.id]
+    place = StructType([StructField(id.name, id.dataType)]).add("field", IntegerType())
+    place = place.add("positions", ArrayType(IntegerType())).add("first", BooleanType())
+    tokens = [T.tokenize(f).alias(f"_tok_{i}") for i, f in enumerate(collection.fields)]
+    schema = StructType().add("token", StringType()).add("places", ArrayType(place))
+    return collection.df.select(collection.id, *tokens).mapInArrow(lambda batches: _cut(batches, id.name), schema)
 
-    def rows_of(i: int, name: str) -> Column:
-        return F.transform(
-            token_positions(T.tokenize(name)),
-            lambda r: F.struct(F.lit(i).alias("field"), r["token"], r["positions"]),
-        )
 
-    parts = [rows_of(i, name) for i, name in enumerate(collection.fields)]
-    every = F.concat(*parts) if len(parts) > 1 else parts[0]
-    return collection.df.select(collection.id, F.inline(every).alias("field", "token", "positions"))
+def terms_of_postings(rows: DataFrame) -> DataFrame:
+    """(token, docs, hits) of rows (token, positions, first)."""
+    hits = F.sum(F.size("positions").cast("long")).alias("hits")
+    return rows.groupBy("token").agg(F.count_if("first").alias("docs"), hits)
 
 
 def bucket_of(token: Column, buckets: int) -> Column:
     return F.pmod(F.xxhash64(token), F.lit(buckets)).cast("int")
 
 
-def _write_buckets(rows: DataFrame, path: str, buckets: int) -> None:
-    """Write rows with a token, one folder per bucket, sorted by token inside a file."""
-    placed = rows.withColumn("bucket", bucket_of(F.col("token"), buckets))
-    (
-        placed.hint("rebalance", "bucket")
-        .sortWithinPartitions("bucket", "token")
-        .write.mode("errorifexists")
-        .partitionBy("bucket")
-        .parquet(path)
-    )
+def write_buckets(rows: DataFrame, path: str, bucket: Column, key: str) -> DataFrame:
+    """Write rows, one folder per bucket, sorted by ``key`` inside a file; the rows as written."""
+    placed = rows.withColumn("bucket", bucket).hint("rebalance", "bucket").sortWithinPartitions("bucket", key)
+    return _write(placed, path)
+
+
+def write_field_postings(collection: Collection, path: str, buckets: int) -> DataFrame:
+    """The same for the postings of a collection. Words are exchanged and sorted with many places in a row, which
+    become rows of their own after it, in the same order."""
+    placed = field_postings(collection).withColumn("bucket", bucket_of(F.col("token"), buckets))
+    placed = placed.hint("rebalance", "bucket").sortWithinPartitions("bucket", "token")
+    return _write(placed.select("token", F.inline("places"), "bucket"), path)
+
+
+def _write(placed: DataFrame, path: str) -> DataFrame:
+    placed.write.mode("errorifexists").partitionBy("bucket").parquet(path)
+    return placed.sparkSession.read.schema(placed.schema).parquet(path).drop("bucket")
 
 
 def write_postings(collection: Collection, path: str, buckets: int = 64) -> None:
-    """Write the three tables and their settings under ``path``, which must not exist."""
-    _write_buckets(field_postings(collection), f"{path}/postings", buckets)
-    _write_buckets(collection.terms(), f"{path}/terms", buckets)
+    """Write the three tables and their settings under ``path``, which must not exist. Words are
+    counted in the written postings, so texts are cut once."""
+    written = write_field_postings(collection, f"{path}/postings", buckets)
+    write_buckets(terms_of_postings(written), f"{path}/terms", bucket_of(F.col("token"), buckets), "token")
     lengths = {f"_len_{i}": F.size(T.tokenize(f)) for i, f in enumerate(collection.fields)}
     docs = collection.rows().withColumns(lengths).drop(*collection.fields)
     docs.write.mode("errorifexists").parquet(f"{path}/docs")

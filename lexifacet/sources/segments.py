@@ -4,7 +4,7 @@ The tables are those of :mod:`postings`, in parts. A change is one part: the row
 of those that are gone, and, in ``terms``, counts of both (those that are gone count negative), so word statistics stay
 sums. The manifest names the parts; a change counts as a whole or not at all.
 
-``postings``  part, bucket | token, id, field, positions
+``postings``  part, bucket | token, id, field, positions, first
 ``terms``     part, bucket | token, docs, hits
 ``docs``      part, bucket | id, attributes, _len_i       bucket of the id
 ``gone``      part | id                                   ids whose rows in earlier parts no longer count
@@ -22,16 +22,16 @@ from dataclasses import dataclass, fields
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructType
+from pyspark.sql.types import ArrayType, BooleanType, IntegerType, LongType, StringType, StructType
 
 from ..functions import text as T
 from . import manifest
 from .collection import Collection
 from .literal import small_table
-from .postings import IndexedCollection, bucket_of, field_postings
+from .postings import IndexedCollection, bucket_of, terms_of_postings, write_buckets, write_field_postings
 
 #: Layout of the written tables.
-FORMAT = 1
+FORMAT = 2
 
 
 def create_segments(collection: Collection, path: str, buckets: int = 64) -> None:
@@ -62,29 +62,22 @@ def _change(now: SegmentedCollection, new: Collection | None, gone: DataFrame |
     terms: list[DataFrame] = []
     touched: set[int] = set()
     if new is not None:
-        _write(field_postings(new), f"{path}/postings/part={part}", bucket_of(F.col("token"), now.buckets), "token")
+        written = write_field_postings(new, f"{path}/postings/part={part}", now.buckets)
         lengths = {f"_len_{i}": F.size(T.tokenize(f)) for i, f in enumerate(new.fields)}
         docs = new.rows().withColumns(lengths).select(*now.docs_schema().fieldNames())
-        _write(docs, f"{path}/docs/part={part}", now.id_bucket(), id)
-        terms.append(new.terms())
+        write_buckets(docs, f"{path}/docs/part={part}", now.id_bucket(), id)
+        terms.append(terms_of_postings(written))
     if gone is not None:
         gone.write.parquet(f"{path}/gone/part={part}")
         gone = spark.read.schema(gone.schema).parquet(f"{path}/gone/part={part}")
-        rows = now.table("postings").join(gone, id, "left_semi")
-        per_document = rows.groupBy(id, "token").agg(F.sum(F.size("positions")).alias("hits"))
-        taken = per_document.groupBy("token").agg(F.count(F.lit(1)).alias("docs"), F.sum("hits").alias("hits"))
+        taken = now.terms_of_documents(gone)
         terms.append(taken.select("token", (-F.col("docs")).alias("docs"), (-F.col("hits")).alias("hits")))
         touched |= {now.buckets + r.b for r in gone.select(now.id_bucket().alias("b")).distinct().collect()}
     every = terms[0] if len(terms) == 1 else terms[0].unionByName(terms[1])
-    _write(every, f"{path}/terms/part={part}", bucket_of(F.col("token"), now.buckets), "token")
+    write_buckets(every, f"{path}/terms/part={part}", bucket_of(F.col("token"), now.buckets), "token")
     manifest.commit(spark, path, part, kind, touched | now.written(part))
 
 
-def _write(rows: DataFrame, path: str, bucket: Column, key: str) -> None:
-    placed = rows.withColumn("bucket", bucket).hint("rebalance", "bucket")
-    placed.sortWithinPartitions("bucket", key).write.mode("errorifexists").partitionBy("bucket").parquet(path)
-
-
 def compact(collection: Collection, path: str) -> None:
     """Rewrite the buckets that more than one part has rows in, or from which rows are gone."""
     now = open_segments(collection, path)
@@ -99,9 +92,9 @@ def compact(collection: Collection, path: str) -> None:
     by_token, by_id = [b for b in touched if b < now.buckets], [b - now.buckets for b in touched if b >= now.buckets]
     for name in ("postings", "terms"):
         rows = now.table(name).where(F.col("bucket").isin(by_token)).drop("bucket")
-        _write(rows, f"{path}/{name}/part={part}", bucket_of(F.col("token"), now.buckets), "token")
+        write_buckets(rows, f"{path}/{name}/part={part}", bucket_of(F.col("token"), now.buckets), "token")
     rows = now.documents().where(F.col("bucket").isin(by_id)).drop("bucket")
-    _write(rows, f"{path}/docs/part={part}", now.id_bucket(), now.id)
+    write_buckets(rows, f"{path}/docs/part={part}", now.id_bucket(), now.id)
     manifest.commit(now.spark, path, part, "compacted", touched)
 
 
@@ -139,7 +132,7 @@ class SegmentedCollection(IndexedCollection):
     def _read(self, name: str) -> DataFrame:
         id = self.attr_schema[self.id]
         schema = {
-            "postings": StructType().add("token", StringType()).add(self.id, id.dataType).add("field", IntegerType()).add("positions", ArrayType(IntegerType())),
+            "postings": StructType().add("token", StringType()).add(self.id, id.dataType).add("field", IntegerType()).add("positions", ArrayType(IntegerType())).add("first", BooleanType()),
             "terms": StructType().add("token", StringType()).add("docs", LongType()).add("hits", LongType()),
             "docs": self.docs_schema(),
             "gone": StructType().add(self.id, id.dataType),
@@ -181,6 +174,12 @@ class SegmentedCollection(IndexedCollection):
         rows = self._live("terms").groupBy("bucket", "token").agg(F.sum("docs").alias("docs"), F.sum("hits").alias("hits"))
         return rows.where("docs > 0").select("token", "docs", "hits", "bucket")
 
+    def terms_of_documents(self, ids: DataFrame) -> DataFrame:
+        """(token, docs, hits) of the documents in ``ids`` (id). Positions are only counted, before any join."""
+        rows = self._live("postings").withColumn("hits", F.size("positions").cast("long")).drop("positions", "field", "bucket")
+        rows = self._present(rows.join(ids, self.id, "left_semi"))
+        return rows.groupBy("token").agg(F.count_if("first").alias("docs"), F.sum("hits").alias("hits"))
+
     def documents(self) -> DataFrame:
         """Id, attributes and lengths of the documents, with the bucket of the id."""
         return self._present(self._live("docs", self.buckets))
